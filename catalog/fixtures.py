@@ -12,31 +12,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def clean_clicks(spark: SparkSession, sf_dir: str, tick_ms: int = 1) -> DataFrame:
     """Events as a page-view log; ``tick_ms`` rounds timestamps down to ties."""
-    events = table(spark, sf_dir, "events")
+    # read as instants, whatever the time zone of the session
+    events = spark.read.schema(
+        "event_id bigint, ts timestamp, user_id bigint, event_type string, props string"
+    ).parquet(f"{sf_dir}/events.parquet")
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     k = F.get_json_object("props", "$.k").cast("int")
-    # from the fields of the timestamp, so that no time zone comes into it
-    ts = (
-        F.unix_date(F.to_date("ts")).cast("bigint") * 86_400_000
-        + F.hour("ts") * 3_600_000
-        + F.minute("ts") * 60_000
-        + F.floor(F.expr("extract(SECOND FROM ts)") * 1000)
-    )
     site = F.concat(F.lit("site_"), (F.col("k") % 40).cast("string"))
     app = F.when(F.col("v1") % 3 == 0, "web").when(F.col("v1") % 3 == 1, "mobile app")
     page = F.concat(F.lit("page_"), F.col("k").cast("string"))
     joined = (
         events.join(customer, events["user_id"] == customer["c_custkey"])
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumns({"v1": F.col("event_id"), "k": k})
+        .withColumns({"v1": F.col("event_id"), "k": k, "ms": F.unix_millis("ts")})
     )
     return joined.select(
         "v1",
         F.concat(F.lit("b"), F.col("user_id").cast("string")).alias("browser"),
-        (ts - ts % tick_ms).cast("bigint").alias("ts"),
-        F.to_date("ts").alias("day"),
-        F.hour("ts").alias("hour"),
+        (F.col("ms") - F.col("ms") % tick_ms).alias("ts"),
+        F.date_from_unix_date(F.floor(F.col("ms") / 86_400_000).cast("int")).alias("day"),
+        F.floor(F.col("ms") % 86_400_000 / 3_600_000).cast("int").alias("hour"),
         F.col("event_type").alias("entry_type"),
         page.alias("page"),
         F.concat_ws("/", F.lit(""), site, F.col("k").cast("string"), "event_type").alias(

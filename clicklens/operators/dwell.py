@@ -35,6 +35,10 @@ def dwell_time(assigned: DataFrame) -> DataFrame:
         "time", (F.lead("ts").over(in_order) - F.col("ts")).cast("double")
     )
 
+    columns = [*assigned.columns, "time"]
+    if large is None:
+        return timed_small.select(*columns)
+
     moments = (
         large.filter(F.col("ts").isNotNull())
         .groupBy(*visit, "ts")
@@ -51,7 +55,6 @@ def dwell_time(assigned: DataFrame) -> DataFrame:
         .when(F.col("last_v1").isNotNull(), 0)
         .cast("double"),
     )
-    columns = [*assigned.columns, "time"]
     return timed_small.select(*columns).unionByName(timed_large.select(*columns))
 
 

@@ -143,7 +143,8 @@ def trace_visits(marked: DataFrame) -> DataFrame:
     """Adds ``session``, ``exit_page`` (1 or NULL) and ``time`` (milliseconds to
     the next page of the session, NULL on its last page)."""
     small, large = split_large(marked, ["browser"])
-    return _trace_small(small).unionByName(_trace_large(large))
+    traced = _trace_small(small)
+    return traced if large is None else traced.unionByName(_trace_large(large))
 
 
 def _traced(
@@ -233,6 +234,7 @@ def _trace_large(marked: DataFrame) -> DataFrame:
         ["browser", "ts"],
         "left",
         row_key=["v1"],
+        sized_by=marked,
     )
     session = F.coalesce("visit", F.when(one_visit, 1).otherwise(0))
     has_moment = F.col("visit").isNotNull()

@@ -4,9 +4,11 @@ share of the rows.
 A group is *large* when it has more rows than ``LARGE_GROUP_CONF`` and more
 than a ``MAX_LARGE_GROUPS``-th of all rows. So there are fewer than
 ``MAX_LARGE_GROUPS`` large groups whatever the data, and their keys can be
-broadcast; every other group fits one task. Group sizes come from a grouped
-count, which is combined before it is shuffled. When no group is large,
-adaptive execution drops the branch for large ones before it reads anything.
+broadcast; every other group fits one task.
+
+Group sizes come from a grouped count, which is combined before it is shuffled.
+Its maximum is looked up when an operator is called; as a rule no group is
+large, and the plan is then the plain one without a branch for large groups.
 """
 
 from __future__ import annotations
@@ -27,40 +29,52 @@ DIGIT_BITS = 21
 UPPER_DIGITS = 2
 
 
-def _any_null(keys: Sequence[str]) -> Column:
+def any_null(keys: Sequence[str]) -> Column:
     return reduce(Column.__or__, [F.col(key).isNull() for key in keys])
 
 
-def _group_sizes(
-    df: DataFrame, keys: Sequence[str], values: dict[str, Column]
-) -> DataFrame:
-    """Rows per group (NULL keys form none) and further aggregates of it."""
-    return (
+def large_groups(
+    df: DataFrame, keys: Sequence[str], values: dict[str, Column] | None = None
+) -> DataFrame | None:
+    """The large groups with aggregates of them, or None when there are none.
+
+    ``parts`` says how many times the limit a group holds. NULL keys form no
+    group.
+    """
+    conf = df.sparkSession.conf
+    sizes = (
         df.dropna(subset=list(keys))
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("group_rows"),
-            *[value.alias(name) for name, value in values.items()],
+            *[value.alias(name) for name, value in (values or {}).items()],
         )
     )
-
-
-def _only_large(sizes: DataFrame) -> DataFrame:
-    """The large groups, with the limit they exceed."""
-    floor = int(sizes.sparkSession.conf.get(LARGE_GROUP_CONF, str(LARGE_GROUP_ROWS)))
-    all_rows = sizes.agg(F.sum("group_rows").alias("all_rows")).scalar()
-    limit = F.greatest(
-        F.lit(floor).cast("bigint"), F.ceil(all_rows / F.lit(MAX_LARGE_GROUPS))
-    )
-    return sizes.withColumn("group_limit", limit).filter(
-        F.col("group_rows") > F.col("group_limit")
+    most, rows = sizes.agg(F.max("group_rows"), F.sum("group_rows")).first()
+    limit = max(
+        int(conf.get(LARGE_GROUP_CONF, str(LARGE_GROUP_ROWS))),
+        (rows or 0) // MAX_LARGE_GROUPS + 1,
+    )
+    if (most or 0) <= limit:
+        return None
+    return F.broadcast(
+        sizes.filter(F.col("group_rows") > limit).select(
+            *keys,
+            F.ceil(F.col("group_rows") / limit).alias("parts"),
+            *(values or {}),
+        )
     )
 
 
-def split_large(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def split_large(
+    df: DataFrame, keys: Sequence[str]
+) -> tuple[DataFrame, DataFrame | None]:
     """The rows outside large groups (NULL keys included) and those inside."""
     keys = list(keys)
-    large = F.broadcast(_only_large(_group_sizes(df, keys, {})).select(*keys))
+    large = large_groups(df, keys)
+    if large is None:
+        return df, None
+    large = large.select(*keys)
     return df.join(large, keys, "left_anti"), df.join(large, keys, "left_semi")
 
 
@@ -75,24 +89,21 @@ def with_group_values(
     ``row_key`` names columns that tell rows apart (default: all of them).
     """
     keys = list(keys)
-    large = F.broadcast(
-        _only_large(_group_sizes(df, keys, values)).select(*keys, *values)
-    )
+    large = large_groups(df, keys, values)
     # a row with a NULL key belongs to no group, so it is a window of its own
-    alone = F.when(_any_null(keys), F.xxhash64(*(row_key or df.columns)))
+    alone = F.when(any_null(keys), F.xxhash64(*(row_key or df.columns)))
     group = Window.partitionBy(*keys, "alone")
-    small = (
-        df.join(large.select(*keys), keys, "left_anti")
-        .withColumn("alone", alone)
-        .select(
-            *df.columns,
-            *[
-                F.when(F.col("alone").isNull(), value.over(group)).alias(name)
-                for name, value in values.items()
-            ],
-        )
+    small = df if large is None else df.join(large.select(*keys), keys, "left_anti")
+    valued = small.withColumn("alone", alone).select(
+        *df.columns,
+        *[
+            F.when(F.col("alone").isNull(), value.over(group)).alias(name)
+            for name, value in values.items()
+        ],
     )
-    return small.unionByName(df.join(large, keys).select(*df.columns, *values))
+    if large is None:
+        return valued
+    return valued.unionByName(df.join(large, keys).select(*df.columns, *values))
 
 
 def salted_join(
@@ -115,28 +126,26 @@ def salted_join(
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
     keys = list(keys)
-    parts = F.broadcast(
-        _only_large(_group_sizes(sized_by or facts, keys, {})).select(
-            *keys, F.ceil(F.col("group_rows") / F.col("group_limit")).alias("parts")
-        )
-    )
+    parts = large_groups(facts if sized_by is None else sized_by, keys)
+    if parts is None and how == "inner":
+        return facts.join(lookup, keys)
+
+    one = F.lit(1).cast("bigint")
+    if parts is None:
+        parted_facts, parted_lookup = [df.withColumn("parts", one) for df in (facts, lookup)]
+    else:
+        parted_facts, parted_lookup = [df.join(parts, keys, "left") for df in (facts, lookup)]
     content = F.xxhash64(*(row_key or facts.columns))
-    salted_facts = facts.join(parts, keys, "left").select(
+    salted_facts = parted_facts.select(
         *facts.columns,
         # NULL keys meet no lookup row: their own hash spreads them
-        F.when(_any_null(keys), content)
-        .when(F.col("parts").isNotNull(), F.pmod(content, F.col("parts")))
-        .otherwise(F.lit(0))
-        .cast("bigint")
+        F.when(any_null(keys), content)
+        .otherwise(F.pmod(content, F.coalesce("parts", one)))
         .alias("salt"),
     )
-    copies = F.sequence(
-        F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1).cast("bigint")) - 1
-    )
-    salted_lookup = (
-        lookup.dropna(subset=keys)
-        .join(parts, keys, "left")
-        .select(*lookup.columns, F.explode(copies).alias("salt"))
+    copies = F.sequence(one - 1, F.coalesce("parts", one) - 1)
+    salted_lookup = parted_lookup.select(
+        *lookup.columns, F.explode(copies).alias("salt")
     )
     return salted_facts.join(salted_lookup, [*keys, "salt"], how).drop("salt")
 
@@ -223,6 +232,8 @@ def with_position(
 
     in_order = Window.partitionBy(*keys).orderBy("order_key", row_id)
     numbered = small.withColumn("position", F.row_number().over(in_order))
+    if large is None:
+        return numbered.select(*columns)
 
     moment = [*keys, "order_key"]
     sizes = large.groupBy(*moment).agg(F.count(F.lit(1)).alias("moment_rows"))
@@ -230,7 +241,7 @@ def with_position(
         *moment, (F.col("running") - F.col("moment_rows")).alias("rows_before")
     )
     ranked = ordered_scan(large.withColumn("one", F.lit(1)), moment, row_id, "one")
-    placed = salted_join(ranked, before, moment, row_key=[row_id]).withColumn(
-        "position", F.col("rows_before") + F.col("running")
-    )
+    placed = salted_join(
+        ranked, before, moment, row_key=[row_id], sized_by=large
+    ).withColumn("position", F.col("rows_before") + F.col("running"))
     return numbered.select(*columns).unionByName(placed.select(*columns))
