@@ -75,7 +75,9 @@ def split_large(
     if large is None:
         return df, None
     large = large.select(*keys)
-    return df.join(large, keys, "left_anti"), df.join(large, keys, "left_semi")
+    # a join on names moves them to the front
+    rest, inside = (df.join(large, keys, how) for how in ("left_anti", "left_semi"))
+    return rest.select(*df.columns), inside.select(*df.columns)
 
 
 def with_group_values(
@@ -126,9 +128,10 @@ def salted_join(
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
     keys = list(keys)
+    columns = [*facts.columns, *[c for c in lookup.columns if c not in keys]]
     parts = large_groups(facts if sized_by is None else sized_by, keys)
     if parts is None and how == "inner":
-        return facts.join(lookup, keys)
+        return facts.join(lookup, keys).select(*columns)
 
     one = F.lit(1).cast("bigint")
     if parts is None:
@@ -147,7 +150,8 @@ def salted_join(
     salted_lookup = parted_lookup.select(
         *lookup.columns, F.explode(copies).alias("salt")
     )
-    return salted_facts.join(salted_lookup, [*keys, "salt"], how).drop("salt")
+    joined = salted_facts.join(salted_lookup, [*keys, "salt"], how)
+    return joined.select(*columns)
 
 
 def ordered_scan(
