@@ -1,6 +1,6 @@
 """Compares registered queries with their SQL in DuckDB.
 
-usage: python tools/compare.py SF_DIR [query ...]
+usage: python -m catalog.compare SF_DIR [query ...]
 """
 
 from __future__ import annotations
@@ -8,14 +8,12 @@ from __future__ import annotations
 import math
 import sys
 import time
-from pathlib import Path
 
 import duckdb
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
-
-import __spark_entry__ as entry_points  # noqa: E402
+from catalog.oracles import all_oracles
+from catalog.queries import all_queries
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
@@ -40,8 +38,8 @@ def canonical(columns: list[str], rows) -> list[tuple]:
 
 def difference(name: str, spark: SparkSession, con, sf_dir: str) -> str | None:
     """What differs between the query and its SQL, or None."""
-    df = entry_points.queries()[name](spark, sf_dir)
-    result = con.execute(entry_points.oracle_sql()[name])
+    df = all_queries()[name](spark, sf_dir)
+    result = con.execute(all_oracles()[name])
     columns = [d[0] for d in result.description]
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} vs {sorted(columns)}"
@@ -65,7 +63,7 @@ def main() -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con = database(sf_dir)
     failed = 0
-    for name in names or entry_points.queries():
+    for name in names or all_queries():
         start = time.perf_counter()
         try:
             found = difference(name, spark, con, sf_dir)
