@@ -6,16 +6,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The columns in use; a given schema spares a look into the files.
+SCHEMAS = {
+    # read as instants, whatever the time zone of the session
+    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, "
+    "props string",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, "
+    "l_linenumber int, l_quantity double, l_shipdate timestamp_ntz",
+    "supplier": "s_suppkey bigint, s_name string",
+    "part": "p_partkey bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def clean_clicks(spark: SparkSession, sf_dir: str, tick_ms: int = 1) -> DataFrame:
     """Events as a page-view log; ``tick_ms`` rounds timestamps down to ties."""
-    # read as instants, whatever the time zone of the session
-    events = spark.read.schema(
-        "event_id bigint, ts timestamp, user_id bigint, event_type string, props string"
-    ).parquet(f"{sf_dir}/events.parquet")
+    events = table(spark, sf_dir, "events")
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     k = F.get_json_object("props", "$.k").cast("int")

@@ -279,7 +279,7 @@ def product_breadth(spark, sf_dir):
 
 @query
 def product_table(spark, sf_dir):
-    return rounded_kpi(kpi.product_table(stage(enhanced(spark, sf_dir))), "value")
+    return rounded_kpi(kpi.product_table(enhanced(spark, sf_dir)), "value")
 
 
 # --- factor charts --------------------------------------------------------

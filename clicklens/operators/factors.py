@@ -3,8 +3,8 @@
 All operators work on *cells*: the log unpivoted over the factors and summed to
 one row per (browser, product, factor, factor value). The cells take one scan
 and one combined shuffle for all factors together; what follows are small
-aggregates of them. Operators accept either the log or cells made before, so a
-caller with several charts can write the cells once.
+aggregates of them. Operators accept the log, or cells made before of the
+factors in question, so a caller with several charts can write the cells once.
 """
 
 from __future__ import annotations
@@ -14,9 +14,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklens.operators.kpi import product_reach, products_per_browser
+from clicklens.operators.kpi import (
+    product_cells,
+    product_reach,
+    products_per_browser,
+)
 from clicklens.operators.skew import salted_join, with_group_values
-from clicklens.schema import FACTORS, HIGHLIGHTS, Factor
+from clicklens.schema import FACTORS, HIGHLIGHTS, KPI_LABELS, Factor
 
 FACTOR = ["factor", "factor_value"]
 
@@ -40,9 +44,7 @@ def factor_cells(df: DataFrame, factors: Sequence[Factor] = FACTORS) -> DataFram
 
 
 def _cells(df: DataFrame, factors: Sequence[Factor]) -> DataFrame:
-    if "factor" in df.columns:
-        return df.filter(F.col("factor").isin([f.label for f in factors]))
-    return factor_cells(df, factors)
+    return df if "factor" in df.columns else factor_cells(df, factors)
 
 
 def _one_pass(df: DataFrame, factors: Sequence[Factor]) -> DataFrame:
@@ -171,23 +173,93 @@ def _chart_rows(df: DataFrame, kpi: str) -> DataFrame:
     )
 
 
-def factor_table(df: DataFrame, factors: Sequence[Factor] = FACTORS) -> DataFrame:
-    """All KPIs of the factors in chart form."""
-    rows = (
-        factor_reach(df, factors)
-        .unionByName(factor_use(df, factors))
-        .unionByName(factor_breadth(df, factors))
+def factor_totals(
+    df: DataFrame, factors: Sequence[Factor] = FACTORS, products: DataFrame | None = None
+) -> DataFrame:
+    """All three overall KPIs per factor value in one pass.
+
+    ``products`` are product cells of the log, if there are any already.
+    """
+    if products is None:
+        products = product_cells(_one_pass(df, factors))
+    counted = salted_join(
+        factor_browsers(df, factors), products_per_browser(products), ["browser"], "left"
+    )
+    browsers = F.count("browser")
+    return counted.groupBy(*FACTOR).agg(
+        browsers.alias("total_reach"),
+        F.avg("time").alias("total_use"),
+        F.floor(F.sum("product_count") / F.nullif(browsers, F.lit(0))).alias(
+            "total_breadth"
+        ),
+    )
+
+
+def factor_table(
+    df: DataFrame, factors: Sequence[Factor] = FACTORS, products: DataFrame | None = None
+) -> DataFrame:
+    """All KPIs of the factors in chart form.
+
+    One aggregate of the cells gives the three KPIs of a product and factor
+    value side by side; they are turned into rows at the end.
+    """
+    if products is None:
+        products = product_cells(_one_pass(df, factors))
+    counted = with_group_values(
+        _cells(df, factors).dropna(subset=FACTOR),
+        ["browser", *FACTOR],
+        {"products": F.count(F.lit(1))},
+    )
+    browsers = F.count("browser")
+    wide = (
+        counted.groupBy("virtual_site", *FACTOR)
+        .agg(
+            browsers.alias("reach"),
+            F.avg("time").alias("use"),
+            (F.sum("products") / F.nullif(browsers, F.lit(0))).alias("breadth"),
+        )
+        .join(
+            product_reach(products).withColumnRenamed("browser_count", "browsers"),
+            "virtual_site",
+            "left",
+        )
+        .join(factor_totals(df, factors, products), FACTOR)
+    )
+    # a missing product has no reach, and where no browser is known no breadth
+    present = {
+        "reach": F.col("virtual_site").isNotNull(),
+        "use": F.lit(True),
+        "breadth": F.col("breadth").isNotNull(),
+    }
+    kpis = F.array(
+        *[
+            F.struct(
+                F.lit(kpi).alias("kpi_filter"),
+                F.col(kpi).cast("double").alias("value"),
+                (F.col("browsers") if kpi == "reach" else F.lit(None).cast("bigint")).alias(
+                    "total_browsers"
+                ),
+                F.col(f"total_{kpi}").cast("double").alias("overall_value"),
+                present[kpi].alias("present"),
+            )
+            for kpi in KPI_LABELS
+        ]
     )
     chart = F.lit(None).cast("string")
     for factor in factors:
-        chart = F.when(F.col("chart_label") == factor.label, factor.chart).otherwise(
-            chart
-        )
-    return rows.select(
-        chart.alias("chart"),
-        F.col("chart_label").alias("subchart"),
-        chart.alias("hlt_filter"),
-        *rows.columns,
+        chart = F.when(F.col("factor") == factor.label, factor.chart).otherwise(chart)
+    rows = wide.select("virtual_site", *FACTOR, chart.alias("chart"), F.inline(kpis))
+    return rows.filter("present").select(
+        "chart",
+        F.col("factor").alias("subchart"),
+        F.col("chart").alias("hlt_filter"),
+        "kpi_filter",
+        F.col("factor").alias("chart_label"),
+        F.col("virtual_site").alias("breakdown"),
+        F.col("factor_value").alias("chart_breakdown"),
+        "value",
+        "total_browsers",
+        "overall_value",
     )
 
 

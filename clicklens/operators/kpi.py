@@ -1,9 +1,9 @@
 """Reach, use and breadth, overall and by product.
 
 Reach counts browsers, use averages the time of a browser, breadth averages
-the products of a browser. Every operator here takes the enhanced log, or cells
-made of it (``factor_cells``) of one factor: sums of sums and distinct counts
-come out the same.
+the products of a browser. Every operator here takes the enhanced log, or
+``product_cells`` made of it: sums of sums and distinct counts come out the
+same.
 """
 
 from __future__ import annotations
@@ -58,6 +58,11 @@ def kpi_table(df: DataFrame) -> DataFrame:
     )
 
 
+def product_cells(df: DataFrame) -> DataFrame:
+    """Time per (browser, product); each cell once."""
+    return df.groupBy("browser", "virtual_site").agg(F.sum("time").alias("time"))
+
+
 def browser_products(df: DataFrame) -> DataFrame:
     """Each browser with each of its products (NULL included) once."""
     return (
@@ -87,12 +92,7 @@ def product_reach(df: DataFrame) -> DataFrame:
 
 def product_use(df: DataFrame) -> DataFrame:
     """Average time a browser of the product spends on it."""
-    return (
-        df.groupBy("browser", "virtual_site")
-        .agg(F.sum("time").alias("time"))
-        .groupBy("virtual_site")
-        .agg(F.avg("time").alias("time"))
-    )
+    return product_cells(df).groupBy("virtual_site").agg(F.avg("time").alias("time"))
 
 
 def product_breadth(df: DataFrame) -> DataFrame:
@@ -111,23 +111,24 @@ def product_breadth(df: DataFrame) -> DataFrame:
 
 
 def product_table(df: DataFrame) -> DataFrame:
-    """All product KPIs in chart form."""
-    parts = {
-        "reach": (product_reach(df), "browser_count"),
-        "use": (product_use(df), "time"),
-        "breadth": (product_breadth(df), "breadth"),
-    }
-    charts = [
-        part.select(
-            F.lit("product").alias("chart"),
-            F.lit("product").alias("subchart"),
-            F.lit(None).cast("string").alias("hlt_filter"),
-            F.lit(kpi).alias("kpi_filter"),
-            F.lit("product").alias("chart_label"),
-            F.col("virtual_site").alias("breakdown"),
-            F.col(column).cast("double").alias("value"),
-        )
-        for kpi, (part, column) in parts.items()
-    ]
-    reach, use, breadth = charts
-    return reach.unionByName(use).unionByName(breadth)
+    """All product KPIs in chart form, from one aggregate of product cells."""
+    counted = with_group_values(
+        product_cells(df), ["browser"], {"products": F.count(F.lit(1))}
+    )
+    browsers = F.count("browser")
+    wide = counted.groupBy("virtual_site").agg(
+        browsers.cast("double").alias("reach"),
+        F.avg("time").alias("use"),
+        (F.sum("products") / F.nullif(browsers, F.lit(0))).alias("breadth"),
+    )
+    rows = wide.unpivot(["virtual_site"], list(KPI_LABELS), "kpi_filter", "value")
+    # without a known browser a product has no breadth
+    return rows.filter(F.col("value").isNotNull()).select(
+        F.lit("product").alias("chart"),
+        F.lit("product").alias("subchart"),
+        F.lit(None).cast("string").alias("hlt_filter"),
+        "kpi_filter",
+        F.lit("product").alias("chart_label"),
+        F.col("virtual_site").alias("breakdown"),
+        "value",
+    )

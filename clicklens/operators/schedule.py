@@ -40,13 +40,15 @@ def _facts(events: DataFrame, days: Column) -> DataFrame:
 
 def _star(
     facts: DataFrame,
+    all_facts: DataFrame,
     services: DataFrame,
     versions: DataFrame,
     assets: DataFrame,
     genres: DataFrame,
 ) -> DataFrame:
     """Facts with channel and genres. The dimension tables are joined to each
-    other first, so the facts are shuffled for two joins only."""
+    other first, so the facts are shuffled for two joins only. Group sizes come
+    from ``all_facts``, which may hold copies but need no shuffle."""
     channel = services.select(
         F.col("id").alias("service_id"), F.col("name").alias("channel")
     )
@@ -58,10 +60,10 @@ def _star(
         asset_genres,
         ["media_asset_id"],
     ).drop("media_asset_id")
-    with_channel = salted_join(facts, channel, ["service_id"])
+    with_channel = salted_join(facts, channel, ["service_id"], sized_by=all_facts)
     start, end = F.col("publication_start_s"), F.col("publication_end_s")
     return salted_join(
-        with_channel, version_genres, ["product_version_id"], sized_by=facts
+        with_channel, version_genres, ["product_version_id"], sized_by=all_facts
     ).select(
         "billed_title",
         "publication_date",
@@ -82,7 +84,8 @@ def schedule_base(
     days: Column,
 ) -> DataFrame:
     """The star join: a row per programme and genre text of its asset."""
-    return _star(_facts(events, days), services, versions, assets, genres)
+    facts = _facts(events, days)
+    return _star(facts, facts, services, versions, assets, genres)
 
 
 def schedule_dedup(
@@ -97,8 +100,10 @@ def schedule_dedup(
     broad = genres.select(
         "media_asset_id", map_genre(F.col("genre")).alias("genre")
     ).distinct()
-    facts = _facts(events, days).distinct()
-    return _star(facts, services, versions, assets, broad).distinct()
+    facts = _facts(events, days)
+    return _star(
+        facts.distinct(), facts, services, versions, assets, broad
+    ).distinct()
 
 
 def schedule_extract(

@@ -126,17 +126,25 @@ def assign_by_span(pages: DataFrame, spans: DataFrame) -> DataFrame:
         )
         .select("browser", "session", "level", F.explode("blocks").alias("block"))
     )
-    page_blocks = pages.select(
-        "*",
-        F.posexplode(
-            F.array(
-                *[F.shiftright("ts", BLOCK_BITS * i) for i in range(BLOCK_LEVELS)]
-            )
-        ).alias("level", "block"),
-    )
-    return salted_join(
-        page_blocks, span_blocks, ["browser", "level", "block"], row_key=["v1"]
-    ).select(*pages.columns, "session")
+    found = ["browser", "level", "block"]
+    # a block has no more pages than its browser: look for large ones there
+    _, busy = split_large(pages, ["browser"])
+    if busy is None:
+        joined = _blocks_of_pages(pages).join(span_blocks, found)
+    else:
+        joined = salted_join(
+            _blocks_of_pages(pages),
+            span_blocks,
+            found,
+            row_key=["v1"],
+            sized_by=_blocks_of_pages(busy),
+        )
+    return joined.select(*pages.columns, "session")
+
+
+def _blocks_of_pages(pages: DataFrame) -> DataFrame:
+    blocks = [F.shiftright("ts", BLOCK_BITS * i) for i in range(BLOCK_LEVELS)]
+    return pages.select("*", F.posexplode(F.array(*blocks)).alias("level", "block"))
 
 
 def trace_visits(marked: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from clicklens.operators.factors import (
     highlight_rows,
     with_region_hex,
 )
-from clicklens.operators.kpi import kpi_table, product_table
+from clicklens.operators.kpi import kpi_table, product_cells, product_table
 from clicklens.schema import DASHBOARD_COLUMNS, FACTORS, Factor
 from clicklens.sources.clicks import read_region_lookup
 from clicklens.sources.tables import read_enhanced, stage, write_extract
@@ -25,17 +25,15 @@ def dashboard_long(
 ) -> DataFrame:
     """All charts of the dashboard in one long table.
 
-    The cells are staged, a folder per factor: one pass over the log serves
-    every chart, and the overall and product charts read a single folder.
+    Two staged tables serve every chart: the factor cells, for which the log is
+    passed over once, and the product cells made from those of one factor.
     """
-    cells = stage(factor_cells(enhanced, factors), partition_by="factor")
-    once = cells.filter(F.col("factor") == factors[0].label).drop(
-        "factor", "factor_value"
-    )
+    cells = stage(factor_cells(enhanced, factors), sort_by="factor")
+    products = stage(product_cells(cells.filter(F.col("factor") == factors[0].label)))
     charts = [
-        kpi_table(once),
-        product_table(once),
-        factor_table(cells, factors),
+        kpi_table(products),
+        product_table(products),
+        factor_table(cells, factors, products),
         highlight_rows(enhanced.sparkSession),
     ]
     stacked = charts[0]

@@ -116,6 +116,26 @@ def test_operators_give_the_same_on_cells(clicks):
     assert sorted(direct, key=repr) == sorted(factors.factor_table(cells).collect(), key=repr)
 
 
+def test_the_factor_table_stacks_the_single_operators(clicks, groups):
+    single = (
+        factors.factor_reach(clicks)
+        .unionByName(factors.factor_use(clicks))
+        .unionByName(factors.factor_breadth(clicks))
+    )
+    table = factors.factor_table(clicks)
+    assert sorted(table.select(*single.columns).collect(), key=repr) == sorted(
+        single.collect(), key=repr
+    )
+
+
+def test_a_product_without_known_browsers_has_no_breadth(spark):
+    clicks = spark.createDataFrame([(None, "tv", *log()[0][2:])], SCHEMA)
+    got = {(r.kpi_filter, r.value) for r in kpi.product_table(clicks).collect()}
+    assert got == {("reach", 0.0), ("use", log()[0][9])}
+    rows = factors.factor_table(clicks, REGION).collect()
+    assert {r.kpi_filter for r in rows} == ({"reach", "use"} if log()[0][4] else set())
+
+
 def test_reach_of_products_is_at_least_the_overall_reach(clicks):
     total = sum(r.browser_count for r in kpi.product_reach(clicks).collect())
     assert total >= kpi.kpi_reach(clicks).first().reach - 1
