@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import fixtures
-from clicklens.functions import expand_sci_text, map_genre, wrap_duration
+from clicklens import functions
 from clicklens.operators import dwell, explore, factors, kpi, repair, schedule, sessions
-from clicklens.plans.charts import dashboard_long, dashboard_with_hex
+from clicklens.plans import charts
 from clicklens.plans.enhance import enhance_clicks, enhance_repaired
 from clicklens.schema import FACTORS
-from clicklens.sources.tables import stage
+from clicklens.sources import clicks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,9 +41,6 @@ def enhanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enhance_repaired(fixtures.clicks(spark, sf_dir))
 
 
-def as_bigint(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.col(n).cast("bigint") for n in names})
-
 
 def rounded(df: DataFrame, **places: int) -> DataFrame:
     """Sums of fractions depend on their order in the last bits: round them."""
@@ -57,13 +55,42 @@ def rounded_kpi(df: DataFrame, *names: str) -> DataFrame:
     )
 
 
+# --- sources --------------------------------------------------------------
+
+
+def _new_folder(spark: SparkSession) -> str:
+    return f"{tables.stage_folder(spark)}/clicklens/{uuid.uuid4().hex}"
+
+
+@query
+def read_clicks(spark, sf_dir):
+    path = _new_folder(spark)
+    tables.write_extract(fixtures.dirty_clicks(spark, sf_dir), path, "csv")
+    return clicks.read_clicks(spark, path)
+
+
+@query
+def read_region_lookup(spark, sf_dir):
+    path = _new_folder(spark)
+    tables.write_extract(fixtures.region_hexes(spark, sf_dir), path, "csv")
+    return clicks.read_region_lookup(spark, path)
+
+
+@query
+def read_enhanced(spark, sf_dir):
+    path = _new_folder(spark)
+    tables.write_enhanced(enhanced(spark, sf_dir), path)
+    return rounded(tables.read_enhanced(spark, path), time=3)
+
+
 # --- repair ---------------------------------------------------------------
 
 
 @query
-def expand_scientific_text(spark, sf_dir):
+def expand_sci_text(spark, sf_dir):
+    expanded = functions.expand_sci_text(F.col("ts_raw"))
     raw = fixtures.dirty_clicks(spark, sf_dir)
-    return raw.select("v1", "ts_raw", expand_sci_text(F.col("ts_raw")).alias("expanded"))
+    return raw.select("v1", "ts_raw", expanded.alias("expanded"))
 
 
 @query
@@ -295,10 +322,10 @@ def factor_total_use(spark, sf_dir):
     return rounded(factors.factor_total_use(enhanced(spark, sf_dir)), time=0)
 
 
-def _cells(spark: SparkSession, sf_dir: str, charts: str | None = None) -> DataFrame:
+def _cells(spark: SparkSession, sf_dir: str, chart: str | None = None) -> DataFrame:
     """Cells of the factors of a chart, staged for the several uses of a chart."""
-    chosen = [f for f in FACTORS if charts in (None, f.chart)]
-    return stage(factors.factor_cells(enhanced(spark, sf_dir), chosen), "factor")
+    chosen = [f for f in FACTORS if chart in (None, f.chart)]
+    return tables.stage(factors.factor_cells(enhanced(spark, sf_dir), chosen), "factor")
 
 
 @query
@@ -350,17 +377,17 @@ def chart_when(spark, sf_dir):
 
 
 @query
-def dashboard(spark, sf_dir):
+def dashboard_long(spark, sf_dir):
     return rounded_kpi(
-        dashboard_long(enhanced(spark, sf_dir)), "value", "overall_value"
+        charts.dashboard_long(enhanced(spark, sf_dir)), "value", "overall_value"
     )
 
 
 @query
-def dashboard_on_map(spark, sf_dir):
+def dashboard_with_hex(spark, sf_dir):
     hexes = fixtures.region_hexes(spark, sf_dir)
     return rounded_kpi(
-        dashboard_with_hex(enhanced(spark, sf_dir), hexes), "value", "overall_value"
+        charts.dashboard_with_hex(enhanced(spark, sf_dir), hexes), "value", "overall_value"
     )
 
 
@@ -378,7 +405,7 @@ def factor_metrics(spark, sf_dir):
 
 
 @query
-def explore_region(spark, sf_dir):
+def explore_factor(spark, sf_dir):
     region = [f for f in FACTORS if f.label == "region"]
     return _explored(explore.explore_table(enhanced(spark, sf_dir), region))
 
@@ -400,18 +427,18 @@ def _days() -> Column:
 
 
 @query
-def programme_durations(spark, sf_dir):
+def wrap_duration(spark, sf_dir):
     events = fixtures.schedule_tables(spark, sf_dir)["events"]
     start, end = F.col("publication_start_s"), F.col("publication_end_s")
     return events.select(
-        "product_version_id", start, end, wrap_duration(start, end).alias("duration")
+        "product_version_id", start, end, functions.wrap_duration(start, end).alias("duration")
     )
 
 
 @query
-def broad_genres(spark, sf_dir):
+def map_genre(spark, sf_dir):
     genres = fixtures.schedule_tables(spark, sf_dir)["genres"]
-    return genres.withColumn("broad", map_genre(F.col("genre")))
+    return genres.withColumn("broad", functions.map_genre(F.col("genre")))
 
 
 @query
