@@ -32,17 +32,7 @@ def test_query(spark, con, name):
 
 
 @pytest.mark.parametrize(
-    "name",
-    [
-        "number_entries",
-        "span_join",
-        "trace_visits_day_ties",
-        "mark_exits",
-        "product_breadth",
-        "factor_total_breadth",
-        "factor_breadth",
-        "schedule_extract",
-    ],
+    "name", ["span_join", "trace_visits_day_ties", "schedule_extract"]
 )
 def test_query_when_most_groups_are_large(spark, con, name):
     spark.conf.set(LARGE_GROUP_CONF, "20")
