@@ -41,7 +41,6 @@ def enhanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enhance_repaired(fixtures.clicks(spark, sf_dir))
 
 
-
 def rounded(df: DataFrame, **places: int) -> DataFrame:
     """Sums of fractions depend on their order in the last bits: round them."""
     return df.withColumns({n: F.round(n, p) for n, p in places.items()})

@@ -174,7 +174,9 @@ def _chart_rows(df: DataFrame, kpi: str) -> DataFrame:
 
 
 def factor_totals(
-    df: DataFrame, factors: Sequence[Factor] = FACTORS, products: DataFrame | None = None
+    df: DataFrame,
+    factors: Sequence[Factor] = FACTORS,
+    products: DataFrame | None = None,
 ) -> DataFrame:
     """All three overall KPIs per factor value in one pass.
 
@@ -183,7 +185,10 @@ def factor_totals(
     if products is None:
         products = product_cells(_one_pass(df, factors))
     counted = salted_join(
-        factor_browsers(df, factors), products_per_browser(products), ["browser"], "left"
+        factor_browsers(df, factors),
+        products_per_browser(products),
+        ["browser"],
+        "left",
     )
     browsers = F.count("browser")
     return counted.groupBy(*FACTOR).agg(
@@ -196,7 +201,9 @@ def factor_totals(
 
 
 def factor_table(
-    df: DataFrame, factors: Sequence[Factor] = FACTORS, products: DataFrame | None = None
+    df: DataFrame,
+    factors: Sequence[Factor] = FACTORS,
+    products: DataFrame | None = None,
 ) -> DataFrame:
     """All KPIs of the factors in chart form.
 
@@ -231,14 +238,14 @@ def factor_table(
         "use": F.lit(True),
         "breadth": F.col("breadth").isNotNull(),
     }
+    no_total = F.lit(None).cast("bigint")
+    totals = {"reach": F.col("browsers"), "use": no_total, "breadth": no_total}
     kpis = F.array(
         *[
             F.struct(
                 F.lit(kpi).alias("kpi_filter"),
                 F.col(kpi).cast("double").alias("value"),
-                (F.col("browsers") if kpi == "reach" else F.lit(None).cast("bigint")).alias(
-                    "total_browsers"
-                ),
+                totals[kpi].alias("total_browsers"),
                 F.col(f"total_{kpi}").cast("double").alias("overall_value"),
                 present[kpi].alias("present"),
             )

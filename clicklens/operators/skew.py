@@ -134,10 +134,10 @@ def salted_join(
         return facts.join(lookup, keys).select(*columns)
 
     one = F.lit(1).cast("bigint")
-    if parts is None:
-        parted_facts, parted_lookup = [df.withColumn("parts", one) for df in (facts, lookup)]
-    else:
-        parted_facts, parted_lookup = [df.join(parts, keys, "left") for df in (facts, lookup)]
+    parted_facts, parted_lookup = (
+        df.withColumn("parts", one) if parts is None else df.join(parts, keys, "left")
+        for df in (facts, lookup)
+    )
     content = F.xxhash64(*(row_key or facts.columns))
     salted_facts = parted_facts.select(
         *facts.columns,
