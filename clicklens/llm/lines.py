@@ -9,6 +9,7 @@ from clicklens.llm.store import stage
 
 # One word of five is the edit bound: lines with fewer words must be equal.
 MIN_WORDS = 5
+SAME, SHORTER, WHOLE = 0, 1, 2
 # A line's place as one number: document, then position in it.
 PLACE = 10**9
 LAST_ID = 2**63 - 1
@@ -65,7 +66,7 @@ def _candidates(distinct: DataFrame) -> DataFrame:
         .filter("low < high")
         .select("half")
     )
-    return halves.join(stage(shared), "half").select("place").distinct()
+    return halves.join(stage(shared).hint("merge"), "half").select("place").distinct()
 
 
 def _neighbourhood(lines: DataFrame) -> DataFrame:
@@ -74,8 +75,8 @@ def _neighbourhood(lines: DataFrame) -> DataFrame:
     The hash of a word sequence is the XOR of hashes of (position, word), so one
     pass over a line gives the hash without each of its words: running XORs of
     the words before it at their own positions and those after it one earlier.
-    ``same``: equal keys differ in the word at one position. ``shorter`` and
-    ``whole``: equal keys are a line without a word and the line that is left.
+    ``SAME``: equal keys differ in the word at one position. ``SHORTER`` and
+    ``WHOLE``: equal keys are a line without a word and the line that is left.
     """
     words = lines.select(
         "place", "words", F.posexplode(F.split("line", " ")).alias("i", "word")
@@ -94,20 +95,20 @@ def _neighbourhood(lines: DataFrame) -> DataFrame:
     fewer = F.col("words") - 1
     emitted = F.array(
         F.struct(
-            F.lit("same").alias("kind"),
+            F.lit(SAME).alias("kind"),
             F.xxhash64(F.lit(0), "words", "i", "without").alias("key"),
         ),
         F.when(
             fewer >= MIN_WORDS,
             F.struct(
-                F.lit("shorter").alias("kind"),
+                F.lit(SHORTER).alias("kind"),
                 F.xxhash64(F.lit(1), fewer, "without").alias("key"),
             ),
         ),
         F.when(
             F.col("i") == 0,
             F.struct(
-                F.lit("whole").alias("kind"),
+                F.lit(WHOLE).alias("kind"),
                 F.xxhash64(F.lit(1), "words", "all").alias("key"),
             ),
         ),
@@ -147,18 +148,20 @@ def _near_earlier(keys: DataFrame, texts: DataFrame) -> DataFrame:
     Per key only its earliest lines count: all others meet those, not each other.
     """
     earliest = keys.groupBy("key").agg(
-        F.min(F.when(F.col("kind") == "same", F.col("place"))).alias("same"),
-        F.min(F.when(F.col("kind") == "shorter", F.col("place"))).alias("shorter"),
-        F.min(F.when(F.col("kind") == "whole", F.col("place"))).alias("whole"),
+        F.min(F.when(F.col("kind") == SAME, F.col("place"))).alias("same"),
+        F.min(F.when(F.col("kind") == SHORTER, F.col("place"))).alias("shorter"),
+        F.min(F.when(F.col("kind") == WHOLE, F.col("place"))).alias("whole"),
         F.count(F.lit(1)).alias("lines"),
     )
     partner = (
-        F.when(F.col("kind") == "same", F.col("same"))
-        .when(F.col("kind") == "shorter", F.col("whole"))
+        F.when(F.col("kind") == SAME, F.col("same"))
+        .when(F.col("kind") == SHORTER, F.col("whole"))
         .otherwise(F.col("shorter"))
     )
     met = (
-        keys.join(stage(earliest.filter("lines > 1").drop("lines")), "key")
+        keys.join(
+            stage(earliest.filter("lines > 1").drop("lines")).hint("merge"), "key"
+        )
         .select("place", partner.alias("earlier"))
         .filter("earlier < place")
         .distinct()
@@ -168,8 +171,8 @@ def _near_earlier(keys: DataFrame, texts: DataFrame) -> DataFrame:
         for name in ("place", "earlier")
     )
     return (
-        met.join(later, "place")
-        .join(first, "earlier")
+        met.join(later.hint("merge"), "place")
+        .join(first.hint("merge"), "earlier")
         .filter(_within_one_word(F.col("place_line"), F.col("earlier_line")))
         .groupBy("place")
         .agg(F.min("earlier").alias("earlier"))
@@ -185,6 +188,9 @@ def mark_lines(docs: DataFrame) -> DataFrame:
     position. Only a direct link counts, also one to a line that goes itself.
     Blank lines always stay.
 
+    Tables of candidates grow with the lines, so no join is left to a broadcast
+    that only small data would get: the plan is the same at every size.
+
     NULL text is one blank line. Repeated rows hold repeated lines at one place;
     they stay or go together. No rows give no rows; columns besides ``doc_id``
     and ``text`` are not read.
@@ -210,7 +216,7 @@ def mark_lines(docs: DataFrame) -> DataFrame:
     texts = stage(
         split_lines(docs)
         .filter(F.col("words") >= MIN_WORDS)
-        .join(stage(_candidates(distinct)), "place")
+        .join(stage(_candidates(distinct)).hint("merge"), "place")
         .select("place", "words", "line")
         .distinct()
     )
@@ -225,7 +231,7 @@ def mark_lines(docs: DataFrame) -> DataFrame:
         )
     )
     found = rows.join(
-        going.withColumn("known", F.lit(True)), "digest", "left"
+        going.withColumn("known", F.lit(True)).hint("merge"), "digest", "left"
     ).withColumn(
         "kept",
         F.col("known").isNull() | F.coalesce(F.col("place") == F.col("stays_at"), F.lit(False)),
@@ -249,11 +255,13 @@ def without_lines(docs: DataFrame, per_document: DataFrame) -> DataFrame:
         F.col("doc_id").alias("removed_of"), F.col("removed").alias("removed_lines")
     )
     kept = F.filter(
-        F.split("text", "\n"),
-        lambda line, i: ~F.array_contains("removed_lines", i),
+        F.split(docs["text"], "\n"),
+        lambda line, i: ~F.array_contains(removed["removed_lines"], i),
     )
-    text = F.when(F.col("removed_of").isNull(), F.col("text")).otherwise(
+    text = F.when(removed["removed_of"].isNull(), docs["text"]).otherwise(
         F.array_join(kept, "\n")
     )
-    joined = docs.join(removed, F.col("doc_id").eqNullSafe(F.col("removed_of")), "left")
-    return joined.withColumn("text", text).select(*docs.columns)
+    joined = docs.join(removed, docs["doc_id"].eqNullSafe(removed["removed_of"]), "left")
+    return joined.select(
+        *[text.alias(c) if c == "text" else docs[c] for c in docs.columns]
+    )

@@ -47,35 +47,56 @@ def propagate(cells: DataFrame, caps: list[int], rounds: int) -> DataFrame:
     """Moves pieces of groups to the shard where most of their group is.
 
     ``cells`` has ``group, piece, n, shard``. Each round joins every piece with
-    the fullest shard of its group, adds up what wants to go from shard to shard
-    (at most shards squared numbers, which the driver turns into quotas) and
-    moves the pieces with the most neighbours at their target as far as the
-    quota goes. It ends when nothing moves.
+    the fullest shard of its group, of those with room if there are any; a piece
+    stays where more of its group is. A group larger than a shard has as many
+    such shards as it fills. What wants to go from shard to shard is
+    added up (at most shards squared numbers, which the driver turns into
+    quotas), and the pieces with the most neighbours at their target move as far
+    as the quota goes. It ends when nothing moves.
     """
     spark = cells.sparkSession
     for _ in range(rounds):
-        held = cells.groupBy("group", "shard").agg(F.sum("n").alias("there"))
+        counts = cells.groupBy("shard").agg(F.sum("n").alias("n")).collect()
+        load = {row["shard"]: row["n"] for row in counts}
+        room = [s for s, n in load.items() if n < caps[s]]
+        held = cells.groupBy("group", "shard").agg(F.sum("n").alias("own"))
+        # a group that fills several shards gathers in as many of its fullest
+        fills = F.greatest(F.lit(1), F.ceil(F.sum("own") / max(1, caps[0])))
+        order = F.transform(
+            "all",
+            lambda at: F.struct(
+                (at["shard"].isin(room) | (F.col("m") > 1)).alias("first"),
+                at["own"].alias("own"),
+                at["tie"],
+                at["shard"].alias("shard"),
+            ),
+        )
+        tie = F.xxhash64("group", "shard").alias("tie")
         best = stage(
-            held.groupBy("group").agg(
-                F.max(F.struct("there", F.xxhash64("group", "shard"), "shard")).alias(
-                    "b"
-                )
+            held.groupBy("group")
+            .agg(
+                F.collect_list(F.struct("own", tie, "shard")).alias("all"),
+                fills.cast("int").alias("m"),
             )
+            .select("group", F.slice(F.sort_array(order, asc=False), 1, F.col("m")).alias("best"))
+        )
+        goal = F.element_at(
+            "best", (F.pmod(F.xxhash64("piece"), F.size("best")) + 1).cast("int")
+        )
+        stays = F.exists("best", lambda b: b["shard"] == F.col("shard")) | (
+            F.col("own") > F.col("goal.own")
         )
         wanting = stage(
-            cells.join(
-                best.select(
-                    "group",
-                    F.col("b.there").alias("pull"),
-                    F.col("b.shard").alias("want"),
-                ),
-                "group",
+            cells.join(held, ["group", "shard"])
+            .join(best, "group")
+            .withColumn("goal", goal)
+            .select(
+                *cells.columns,
+                F.col("goal.own").alias("pull"),
+                F.when(stays, F.col("shard")).otherwise(F.col("goal.shard")).alias("want"),
             )
         )
         sums = wanting.groupBy("shard", "want").agg(F.sum("n").alias("n")).collect()
-        load: dict[int, int] = {}
-        for row in sums:
-            load[row["shard"]] = load.get(row["shard"], 0) + row["n"]
         discard(best)
         flow = {(r["shard"], r["want"]): r["n"] for r in sums if r["shard"] != r["want"]}
         quota = [(a, b, q) for (a, b), q in _quotas(flow, load, caps).items() if q > 0]
