@@ -16,7 +16,7 @@ from clicklens.llm.store import stage
 def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Documents whose ``doc_id`` is among ``ids``; a NULL id is an id here."""
     chosen = ids.select(F.col("doc_id").alias("chosen_id")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("chosen_id"))
+    same = docs["doc_id"].eqNullSafe(chosen["chosen_id"])
     return docs.join(chosen, same, "left_semi")
 
 
