@@ -55,7 +55,7 @@ def propagate(cells: DataFrame, caps: list[int], rounds: int) -> DataFrame:
     as the quota goes. It ends when nothing moves.
     """
     spark = cells.sparkSession
-    for _ in range(rounds):
+    for round_ in range(rounds):
         counts = cells.groupBy("shard").agg(F.sum("n").alias("n")).collect()
         load = {row["shard"]: row["n"] for row in counts}
         room = [s for s, n in load.items() if n < caps[s]]
@@ -81,7 +81,8 @@ def propagate(cells: DataFrame, caps: list[int], rounds: int) -> DataFrame:
             .select("group", F.slice(F.sort_array(order, asc=False), 1, F.col("m")).alias("best"))
         )
         goal = F.element_at(
-            "best", (F.pmod(F.xxhash64("piece"), F.size("best")) + 1).cast("int")
+            "best",
+            (F.pmod(F.xxhash64("piece", F.lit(round_)), F.size("best")) + 1).cast("int"),
         )
         stays = F.exists("best", lambda b: b["shard"] == F.col("shard")) | (
             F.col("own") > F.col("goal.own")

@@ -38,7 +38,9 @@ def test_shards_are_even_and_keep_copies_together(documents):
 def test_a_group_larger_than_a_shard_is_spread(spark):
     rows = [(i, "same" if i % 3 else f"text {i}") for i in range(400)]
     found = check_shards(spark.createDataFrame(rows, "doc_id bigint, text string"), 10)
-    assert len({r["shard"] for r in found if r["size"] == 20}) < 10
+    held = Counter(r["shard"] for r in found if r["size"] == 20)
+    # 266 rows fill seven shards of 40
+    assert sum(n for _, n in held.most_common(7)) >= 0.9 * held.total()
 
 
 def test_shards_of_odd_rows(odd_documents, no_documents, documents):
