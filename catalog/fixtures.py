@@ -173,3 +173,41 @@ def schedule_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "assets": part.select(part_id.alias("id")),
         "genres": one.unionByName(more),
     }
+
+
+def click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged log as CSV lines, ``v1`` besides.
+
+    A field with a comma is quoted and keeps its doubled quotes, an empty text
+    is a pair of quotes, NULL is ``NA`` or blank.
+    """
+    absent = F.when(F.col("v1") % 2 == 0, "NA").otherwise("")
+
+    def field(name: str) -> Column:
+        value = F.col(name).cast("string")
+        quoted = F.concat(F.lit('"'), value, F.lit('"'))
+        return (
+            F.when(value.isNull(), absent)
+            .when((value == "") | value.contains(","), quoted)
+            .otherwise(value)
+        )
+
+    raw = dirty_clicks(spark, sf_dir)
+    return raw.select("v1", F.concat_ws(",", *map(field, raw.columns)).alias("line"))
+
+
+def ragged_click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``click_lines``, some with a surplus field and some cut short."""
+    short = F.regexp_extract("line", "^(.*),[^,]*$", 1)
+    line = (
+        F.when(F.col("v1") % 97 == 0, F.concat("line", F.lit(",surplus")))
+        .when(F.col("v1") % 101 == 1, short)
+        .otherwise(F.col("line"))
+    )
+    return click_lines(spark, sf_dir).withColumn("line", line)
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Lines as CSV files with a header, written as they are."""
+    options = {"header": True, "sep": "\u0001", "quote": "", "emptyValue": ""}
+    lines.select("line").write.options(**options).csv(path)

@@ -58,16 +58,30 @@ def rounded_kpi(df: DataFrame, *names: str) -> DataFrame:
 
 
 def _new_folder(spark: SparkSession) -> str:
-    return f"{tables.stage_folder(spark)}/clicklens/{uuid.uuid4().hex}"
+    folder = tables.stage_folder(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{folder}/clicklens/{uuid.uuid4().hex}"
 
 
 @query
 def read_clicks(spark, sf_dir):
     path = _new_folder(spark)
-    tables.write_extract(fixtures.dirty_clicks(spark, sf_dir), path, "csv")
+    fixtures.write_lines(fixtures.click_lines(spark, sf_dir), path)
     return clicks.read_clicks(spark, path)
 
 
+@query
+def read_ragged_rows(spark, sf_dir):
+    path = _new_folder(spark)
+    fixtures.write_lines(fixtures.ragged_click_lines(spark, sf_dir), path)
+    first = F.substring_index("line", ",", 1).cast("bigint")
+    return clicks.read_ragged_rows(spark, path).select(first.alias("v1"))
+
+
+@query
+def repair_from_csv(spark, sf_dir):
+    return repair.repair_clicks(clicks.parse_lines(fixtures.click_lines(spark, sf_dir)))
+
+
 @query
 def read_region_lookup(spark, sf_dir):
     path = _new_folder(spark)

@@ -9,5 +9,9 @@ DAY_SECONDS = 86_400
 
 
 def wrap_duration(start_s: Column, end_s: Column) -> Column:
-    """Seconds from start to end, over midnight when the end is earlier."""
-    return F.pmod(end_s - start_s, F.lit(DAY_SECONDS)).cast("int")
+    """Seconds from start to end, over midnight when the end is earlier.
+
+    An end at 24:00 is the end of the day, so 00:00 to 24:00 is a whole day.
+    """
+    seconds = end_s - start_s
+    return F.when(seconds < 0, seconds + DAY_SECONDS).otherwise(seconds).cast("int")

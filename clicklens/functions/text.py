@@ -5,28 +5,50 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A DOUBLE has no larger exponent, so a longer one is not a number. It also
-# keeps one bad row from padding a string to gigabytes.
-MAX_EXPONENT = 308
+# Digits of the largest BIGINT.
+BIGINT_DIGITS = 19
+
+
+def _sci_parts(text: Column) -> tuple[Column, Column, Column]:
+    """Where the ``e`` is, the digits before it, and the width asked for."""
+    mark = F.instr(text, "e")
+    digits = F.replace(F.substring(text, F.lit(1), mark - 1), F.lit(","), F.lit(""))
+    # two characters are skipped: the "e" and the sign
+    exponent = F.substring(text, mark + 2, F.length(text)).try_cast("double")
+    return mark, digits, exponent.try_cast("int").cast("bigint") + 1
 
 
 def expand_sci_text(text: Column) -> Column:
     """Integer text for scientific text such as ``1,404e+12``, else NULL.
 
     The digits before the ``e`` lose their commas and are padded with zeros up
-    to the width the exponent asks for; longer digits stay as they are.
+    to the width the exponent asks for; longer digits stay as they are. An
+    exponent that is no INT gives NULL.
     """
-    mark = F.instr(text, "e")
-    digits = F.replace(F.substring(text, F.lit(1), mark - 1), F.lit(","), F.lit(""))
-    # two characters are skipped: the "e" and the sign
-    exponent = F.substring(text, mark + 2, F.length(text)).try_cast("double")
-    width = F.when(exponent <= MAX_EXPONENT, exponent.cast("int") + 1)
+    mark, digits, width = _sci_parts(text)
     padded = F.when(F.length(digits) >= width, digits).otherwise(
-        F.rpad(digits, width, F.lit("0"))
+        F.rpad(digits, width.try_cast("int"), F.lit("0"))
     )
     return F.when(mark > 0, padded)
 
 
+def sci_number(text: Column) -> Column:
+    """``expand_sci_text`` as a BIGINT, NULL where it is none.
+
+    A width beyond BIGINT is never written out: only zeros have a value then.
+    """
+    mark, digits, width = _sci_parts(text)
+    number = (
+        F.when(F.length(digits) >= width, digits.try_cast("bigint"))
+        .when(
+            width <= BIGINT_DIGITS,
+            F.rpad(digits, width.try_cast("int"), F.lit("0")).try_cast("bigint"),
+        )
+        .when((width > BIGINT_DIGITS) & digits.rlike("^0+$"), F.lit(0))
+    )
+    return F.when(mark > 0, number)
+
+
 def merged_page_url(merged: Column) -> Column:
     """The page URL of a merged field: all up to the first of a quote pair."""
     pair = F.instr(merged, '""')

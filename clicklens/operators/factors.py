@@ -43,13 +43,20 @@ def factor_cells(df: DataFrame, factors: Sequence[Factor] = FACTORS) -> DataFram
     )
 
 
+def _are_cells(df: DataFrame) -> bool:
+    """Whether a frame is of cells; a log may have a column of one such name."""
+    return set(FACTOR) <= set(df.columns)
+
+
 def _cells(df: DataFrame, factors: Sequence[Factor]) -> DataFrame:
-    return df if "factor" in df.columns else factor_cells(df, factors)
+    if not _are_cells(df):
+        return factor_cells(df, factors)
+    return df.filter(F.col("factor").isin([f.label for f in factors]))
 
 
 def _one_pass(df: DataFrame, factors: Sequence[Factor]) -> DataFrame:
     """The log, or the cells of one factor: they hold every row once."""
-    if "factor" in df.columns:
+    if _are_cells(df):
         return df.filter(F.col("factor") == factors[0].label)
     return df
 

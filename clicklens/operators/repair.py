@@ -14,6 +14,7 @@ from clicklens.functions.text import (
     expand_sci_text,
     merged_page_url,
     merged_previous_page,
+    sci_number,
     strip_marks,
 )
 
@@ -79,7 +80,9 @@ def repair_clicks(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("application_type").isNotNull()).select(
         "v1",
         "browser",
-        _repaired_ts().try_cast("bigint").alias("ts"),
+        F.coalesce(sci_number(F.col("ts_raw")), F.col("ts_raw").try_cast("bigint")).alias(
+            "ts"
+        ),
         "day",
         F.col("hour").try_cast("int").alias("hour"),
         "entry_type",

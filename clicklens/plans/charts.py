@@ -17,7 +17,7 @@ from clicklens.operators.factors import (
 from clicklens.operators.kpi import kpi_table, product_cells, product_table
 from clicklens.schema import DASHBOARD_COLUMNS, FACTORS, Factor
 from clicklens.sources.clicks import read_region_lookup
-from clicklens.sources.tables import read_enhanced, stage, write_extract
+from clicklens.sources.tables import job, read_enhanced, stage, write_extract
 
 
 def dashboard_long(
@@ -59,5 +59,6 @@ def run_charts(
     """Writes both extracts of an enhanced log."""
     enhanced = read_enhanced(spark, enhanced_path)
     hexes = read_region_lookup(spark, hexes_path)
-    write_extract(dashboard_with_hex(enhanced, hexes), dashboard_path, fmt, mode)
+    with job(spark):
+        write_extract(dashboard_with_hex(enhanced, hexes), dashboard_path, fmt, mode)
     write_extract(explore_table(enhanced), explore_path, fmt, mode)

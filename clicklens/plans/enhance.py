@@ -9,7 +9,7 @@ from clicklens.operators.repair import repair_clicks
 from clicklens.operators.sessions import mark_entries, trace_visits
 from clicklens.schema import ENHANCED_COLUMNS
 from clicklens.sources.clicks import read_clicks
-from clicklens.sources.tables import stage, write_enhanced
+from clicklens.sources.tables import job, stage, write_enhanced
 
 
 def enhance_repaired(clicks: DataFrame) -> DataFrame:
@@ -32,8 +32,11 @@ def run_enhance(
 ) -> None:
     """Reads a raw log, enhances it and writes it by day.
 
-    Text is parsed once: the repaired log is staged as parquet, from which the
-    group sizes and the mean dwell time read only the columns they need.
+    Text is parsed once and the log is cut into sessions once: both results are
+    staged as parquet, from which the group sizes and the mean dwell time read
+    only the columns they need. What is staged is deleted at the end.
     """
-    repaired = stage(repair_clicks(read_clicks(spark, log_path, fmt)))
-    write_enhanced(enhance_repaired(repaired), out_path, mode)
+    with job(spark):
+        repaired = stage(repair_clicks(read_clicks(spark, log_path, fmt)))
+        traced = stage(trace_visits(mark_entries(repaired)))
+        write_enhanced(impute_mean(traced).select(*ENHANCED_COLUMNS), out_path, mode)

@@ -2,41 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clicklens.schema import RAW_CLICKS, REGION_HEX
 
+# A field and the comma that ends it: in quotes, where a doubled quote does not
+# end it, or all up to a comma. A backslash is a character like any other.
+FIELD = r'("[^"]*+(?:""[^"]*+)*+"|[^,]*),'
+
+
+def split_fields(line: Column) -> Column:
+    """The fields of a CSV line as they stand there, quotes included."""
+    return F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit(FIELD), F.lit(1))
+
+
+def field_value(field: Column) -> Column:
+    """A field without its outer quotes. Doubled quotes inside stay, since the
+    repair looks for them. Blank and ``NA`` are NULL unless quoted."""
+    quoted = field.startswith('"') & field.endswith('"') & (F.length(field) > 1)
+    return F.when(quoted, F.substring(field, F.lit(2), F.length(field) - 2)).when(
+        ~field.isin("", "NA"), field
+    )
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """The raw log from its CSV lines (column ``line``), a row per line.
+
+    Short rows are filled with NULL and surplus fields dropped.
+    """
+    split = lines.select(split_fields(F.col("line")).alias("fields"))
+    return split.select(
+        *[
+            field_value(F.get("fields", F.lit(i)))
+            .try_cast(field.dataType)
+            .alias(field.name)
+            for i, field in enumerate(RAW_CLICKS)
+        ]
+    )
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of CSV files without their headers, in ``line``."""
+    # a separator that no log has, and no quotes: each line is one column
+    options = {"header": True, "sep": "\u0001", "quote": "", "nullValue": "\u0001"}
+    return spark.read.schema("line string").options(**options).csv(path)
+
 
 def read_clicks(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """The raw log from CSV with a header, or from another Spark format.
 
-    ``NA`` and blank fields are NULL, a quoted empty field is an empty text.
-    Short rows are filled with NULL and surplus fields dropped. No schema is
-    inferred, so the files are read once.
+    CSV is parsed by ``parse_lines``; no schema is inferred, so the files are
+    read once.
     """
-    reader = spark.read.schema(RAW_CLICKS)
     if fmt == "csv":
-        reader = reader.options(
-            header=True, mode="PERMISSIVE", nullValue="NA", enforceSchema=True
-        )
-    return reader.format(fmt).load(path)
+        return parse_lines(read_lines(spark, path))
+    return spark.read.schema(RAW_CLICKS).format(fmt).load(path)
+
+
+def ragged_lines(lines: DataFrame) -> DataFrame:
+    """The lines that have too few or too many fields."""
+    fields = split_fields(F.col("line"))
+    return lines.filter(F.size(fields) != len(RAW_CLICKS))
 
 
 def read_ragged_rows(spark: SparkSession, path: str) -> DataFrame:
     """The CSV rows that have too few or too many fields, as text in ``line``."""
-    schema = T.StructType(RAW_CLICKS.fields + [T.StructField("line", T.StringType())])
-    rows = (
-        spark.read.schema(schema)
-        .options(
-            header=True,
-            mode="PERMISSIVE",
-            nullValue="NA",
-            columnNameOfCorruptRecord="line",
-        )
-        .csv(path)
-    )
-    return rows.filter(rows["line"].isNotNull())
+    return ragged_lines(read_lines(spark, path))
 
 
 def read_region_lookup(spark: SparkSession, path: str) -> DataFrame:

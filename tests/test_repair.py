@@ -18,7 +18,9 @@ from clicklens.schema import RAW_CLICKS
         ("1404650000000", None),
         ("1e+x", None),
         ("1e", None),
-        ("1e+999999999", None),
+        ("1e+309", "1" + "0" * 309),
+        ("1,4e+400", "14" + "0" * 399),
+        ("1e+99999999999", None),
         (None, None),
     ],
 )
@@ -75,6 +77,16 @@ def test_unreadable_numbers_become_null(spark):
     assert row.ts is None and row.hour == 9
 
 
+@pytest.mark.parametrize(
+    ("text", "number"),
+    [("9e+18", 9 * 10**18), ("9,3e+18", None), ("1e+999999999", None), ("0e+400", 0),
+     ("1e+2147483647", None), ("12345e+2", 12345), ("1,4e+12", 1_400_000_000_000)],
+)
+def test_long_numbers_are_never_written_out(spark, text, number):
+    row = repair.repair_clicks(raw(spark, (1, text, "u", "p", "s", "r", "x", "web"))).first()
+    assert row.ts == number
+
+
 def test_repair_is_a_single_pass(spark):
     log = raw(spark, (1, "1", "u", "p", "s", "r", "x", "web"))
     plan = repair.repair_clicks(log)._jdf.queryExecution().executedPlan().toString()

@@ -74,3 +74,9 @@ def test_genres_of_a_programme(spark, groups):
     starts = [r.publication_start_time for r in rows]
     assert starts == sorted(starts)
     assert {r.genres for r in rows[3:]} == {"News, Sport"}
+
+
+def test_a_whole_day_is_not_nothing(spark):
+    df = spark.createDataFrame([(0, 86_400), (3600, 86_400), (7, 7)], "s int, e int")
+    got = [r.d for r in df.select(wrap_duration(F.col("s"), F.col("e")).alias("d")).collect()]
+    assert got == [86_400, 82_800, 0]

@@ -49,7 +49,8 @@ def test_jobs_end_to_end(spark, tmp_path, log_path):
     )
     run_enhance(spark, log_path, enhanced_path)
     enhanced = tables.read_enhanced(spark, enhanced_path)
-    assert set(enhanced.columns) == set(ENHANCED_COLUMNS)
+    assert enhanced.columns == ENHANCED_COLUMNS
+    assert {r.day for r in enhanced.collect()} == {"2014-07-06"}
     rows = {r.v1: r for r in enhanced.collect()}
     # row 5 has no application type; 10 s and 20 s are measured, the rest imputed
     assert {v1: r.time for v1, r in rows.items()} == {
@@ -67,8 +68,53 @@ def test_jobs_end_to_end(spark, tmp_path, log_path):
     assert spark.read.option("header", True).csv(explore).count() > 0
 
 
-def test_staging_needs_a_shared_folder(spark):
-    assert tables.stage_folder(spark)
+def test_days_come_back_as_they_were(spark, tmp_path):
+    days = ["06", "", None, "2014-07-06", "a/b=c"]
+    row = dict.fromkeys(ENHANCED_COLUMNS)
+    schema = ", ".join(f"{c} {'bigint' if c == 'v1' else 'string'}" for c in ENHANCED_COLUMNS)
+    rows = [tuple((row | {"v1": i, "day": d}).values()) for i, d in enumerate(days)]
+    path = str(tmp_path / "days")
+    tables.write_enhanced(spark.createDataFrame(rows, schema), path)
+    back = tables.read_enhanced(spark, path)
+    assert {r.v1: r.day for r in back.collect()} == dict(enumerate(days))
+    assert back.columns == ENHANCED_COLUMNS and dict(back.dtypes)["day"] == "string"
+
+
+def parsed(spark, *ends):
+    """The last columns of lines that end so."""
+    start = "7,b,1,2014-07-06,1,direct,home,"
+    lines = spark.createDataFrame([(start + end,) for end in ends], "line string")
+    return [tuple(r)[7:] for r in clicks.parse_lines(lines).collect()]
+
+
+def test_quotes_and_backslashes_in_lines(spark):
+    assert parsed(
+        spark,
+        '"http://x/a"", prev. page",site_1|,wales,mobile,app,1',
+        '"http://x/""q"" b",p,s,r,x,web',
+        '"http://x/c\\",p,s,r,x,web',
+        'a\\,"NA",NA,"","x,y",web',
+        'u,"stray,s,r,x,web',
+    ) == [
+        ('http://x/a"", prev. page', "site_1|", "wales", "mobile", "app", "1"),
+        ('http://x/""q"" b', "p", "s", "r", "x", "web"),
+        ("http://x/c\\", "p", "s", "r", "x", "web"),
+        ("a\\", "NA", None, "", "x,y", "web"),
+        ("u", '"stray', "s", "r", "x", "web"),
+    ]
+
+
+def test_a_job_leaves_nothing_staged(spark, tmp_path, log_path, monkeypatch):
+    folder = tmp_path / "shared"
+    monkeypatch.setattr(tables, "stage_folder", lambda _: str(folder))
+    run_enhance(spark, log_path, str(tmp_path / "out"))
+    assert not list((folder / "clicklens").iterdir())
+
+
+def test_without_a_shared_folder_nothing_is_staged(spark, monkeypatch):
+    monkeypatch.setattr(tables, "stage_folder", lambda _: None)
+    df = spark.range(3)
+    assert tables.stage(df) is df
 
 
 def test_stage_keeps_rows_and_schema(spark):
