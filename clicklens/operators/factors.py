@@ -103,7 +103,7 @@ def factor_total_breadth(
         .groupBy(*FACTOR)
         .agg(
             F.sum("product_count").alias("product_count"),
-            F.count(F.lit(1)).alias("browser_dist_count"),
+            F.count(F.lit(1)).alias("browsers"),
         )
     )
 
@@ -160,7 +160,7 @@ def factor_breadth(
     breadth = counted.groupBy("virtual_site", *FACTOR).agg(
         (F.sum("products") / F.count(F.lit(1))).alias("value")
     )
-    ratio = F.col("product_count") / F.col("browser_dist_count")
+    ratio = F.col("product_count") / F.col("browsers")
     overall = factor_total_breadth(df, factors).select(
         *FACTOR, (ratio if exact_ratio else F.floor(ratio)).alias("overall_value")
     )
