@@ -95,7 +95,7 @@ def test_limits_of_containers_change_nothing(spark, rows, max_sequences, max_tur
 
 def test_a_long_conversation_is_a_chain(spark):
     rows = [(c, t, "user", f"turn {t}") for c in (9001, 9002) for t in range(20_000)]
-    got = conversation_trie(spark.createDataFrame(rows, TURNS))
+    got = conversation_trie(spark.createDataFrame(rows, TURNS), heads=1).cache()
     assert got.filter("n_convs = 2 AND n_leaves = 1 AND conv_id = 9001").count() == 20_001
     assert got.filter("depth = 20000 AND n_children = 0 AND saved_tokens = 10").count() == 1
 

@@ -92,13 +92,15 @@ def test_rules_and_links_against_plain_version(spark):
 
 
 def test_relative_links_and_given_redirects(spark):
-    base = "http://a.org/x/y.html?z=1#t"
-    for link in ("http://b.org/k", "//q.org/fr/1", "/es/2", "z/w?a=b&amp;c", "?page=2"):
+    pages, redirects = [], []
+    for i, link in enumerate(("http://b.org/k", "//q.org/fr/1", "/es/2", "z/w?a=b&amp;c", "?page=2")):
+        base = f"http://a{i}.org/x/y.html?z=1#t"
         to = urljoin(base, link.replace("&amp;", "&"))
-        pages = [(1, base, f'<link href="{link}" rel="nofollow canonical">'), (2, to, "")]
-        redirects = spark.createDataFrame([(to, "http://b.net/es/")], "from_url string, to_url string")
-        got = judged(spark, pages, redirects)
-        assert [row[4] for row in got] == ["block", "block"], link
+        pages += [(i, base, f'<link href="{link}" rel="nofollow canonical">'), (i, to, "")]
+        redirects.append((to, f"http://b.net/es/{i}"))
+    pages.append((9, "http://a.org/other", "<link rel=canonical>"))
+    given = spark.createDataFrame(redirects, "from_url string, to_url string")
+    assert [row[4] for row in judged(spark, pages, given)] == ["block"] * 10 + ["allow"]
 
 
 def test_an_allowed_address_keeps_its_resource_open(spark):
