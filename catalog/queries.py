@@ -4,14 +4,25 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import fixtures
 from clicklens import functions
-from clicklens.operators import dwell, explore, factors, kpi, repair, schedule, sessions
+from clicklens.operators import (
+    dwell,
+    explore,
+    factors,
+    kpi,
+    repair,
+    schedule,
+    sessions,
+    skew,
+)
 from clicklens.plans import charts
+from clicklens.plans import schedule as schedule_plan
 from clicklens.plans.enhance import enhance_clicks, enhance_repaired
 from clicklens.schema import FACTORS
 from clicklens.sources import clicks, tables
@@ -37,8 +48,17 @@ def marked(spark: SparkSession, sf_dir: str, tick_ms: int = 1) -> DataFrame:
     return sessions.mark_entries(fixtures.clicks(spark, sf_dir, tick_ms))
 
 
-def enhanced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enhance_repaired(fixtures.clicks(spark, sf_dir))
+def hot(spark: SparkSession, sf_dir: str) -> skew.HotKeys:
+    """The hot browsers, counted once for a query."""
+    return skew.hot_keys(fixtures.clicks(spark, sf_dir))
+
+
+def enhanced(
+    spark: SparkSession, sf_dir: str, hot_browsers: skew.HotKeys | None = None
+) -> DataFrame:
+    return enhance_repaired(
+        fixtures.clicks(spark, sf_dir), hot_browsers or hot(spark, sf_dir)
+    )
 
 
 def rounded(df: DataFrame, **places: int) -> DataFrame:
@@ -58,6 +78,8 @@ def rounded_kpi(df: DataFrame, *names: str) -> DataFrame:
 
 
 def _new_folder(spark: SparkSession) -> str:
+    """A folder for a query that reads what it has written: in the shared one, or
+    where tables go when the session, as in tests, has none."""
     folder = tables.stage_folder(spark) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{folder}/clicklens/{uuid.uuid4().hex}"
 
@@ -180,11 +202,14 @@ def last_entries(spark, sf_dir):
 
 def _span_join(spark: SparkSession, sf_dir: str, tick_ms: int) -> DataFrame:
     pages = marked(spark, sf_dir, tick_ms)
-    numbered = sessions.number_entries(pages)
+    hot_browsers = hot(spark, sf_dir)
+    numbered = sessions.number_entries(pages, hot=hot_browsers)
     spans = sessions.session_spans(numbered).unionByName(
         sessions.last_entries(numbered), allowMissingColumns=True
     )
-    return sessions.assign_by_span(pages.select("v1", "browser", "ts"), spans)
+    seen = pages.select("v1", "browser", "ts")
+    # entries numbered by time: their spans follow one another
+    return sessions.assign_by_span(seen, spans, overlapping=False, hot=hot_browsers)
 
 
 @query
@@ -197,8 +222,18 @@ def span_join_ties(spark, sf_dir):
     return _span_join(spark, sf_dir, DAY_MS)
 
 
+@query
+def span_join_overlapping(spark, sf_dir):
+    """Spans by the order of the repaired log, which overlap."""
+    clean = repair.repair_clicks(fixtures.dirty_clicks(spark, sf_dir))
+    pages = sessions.mark_entries(clean)
+    numbered = sessions.number_entries(pages, "input")
+    spans = sessions.session_spans(numbered)
+    return sessions.assign_by_span(pages.select("v1", "browser", "ts"), spans)
+
+
 def _assigned(spark: SparkSession, sf_dir: str, tick_ms: int = 1) -> DataFrame:
-    return sessions.assign_sessions(marked(spark, sf_dir, tick_ms))
+    return sessions.assign_sessions(marked(spark, sf_dir, tick_ms), hot(spark, sf_dir))
 
 
 @query
@@ -215,7 +250,8 @@ def assign_sessions(spark, sf_dir):
 
 @query
 def mark_exits(spark, sf_dir):
-    return sessions.mark_exits(_assigned(spark, sf_dir)).select(
+    assigned = _assigned(spark, sf_dir)
+    return sessions.mark_exits(assigned, hot(spark, sf_dir)).select(
         "v1", "browser", "session", "exit_page"
     )
 
@@ -225,20 +261,21 @@ def mark_exits(spark, sf_dir):
 
 @query
 def page_position(spark, sf_dir):
-    return dwell.page_position(_assigned(spark, sf_dir)).select(
+    assigned = _assigned(spark, sf_dir)
+    return dwell.page_position(assigned, hot(spark, sf_dir)).select(
         "v1", "browser", "session", "row_number"
     )
 
 
 @query
 def dwell_time(spark, sf_dir):
-    return dwell.dwell_time(_assigned(spark, sf_dir)).select(
+    return dwell.dwell_time(_assigned(spark, sf_dir), hot(spark, sf_dir)).select(
         "v1", "browser", "session", "time"
     )
 
 
 def _visits(spark: SparkSession, sf_dir: str, tick_ms: int) -> DataFrame:
-    return sessions.trace_visits(marked(spark, sf_dir, tick_ms)).select(
+    return sessions.trace_visits(marked(spark, sf_dir, tick_ms), hot(spark, sf_dir)).select(
         "v1", "browser", "ts", "first_page", "session", "exit_page", "time"
     )
 
@@ -277,6 +314,11 @@ def enhanced_from_dirty_log(spark, sf_dir):
 # --- KPIs and products ----------------------------------------------------
 
 
+def _log_and_hot(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, skew.HotKeys]:
+    hot_browsers = hot(spark, sf_dir)
+    return enhanced(spark, sf_dir, hot_browsers), hot_browsers
+
+
 @query
 def kpi_reach(spark, sf_dir):
     return kpi.kpi_reach(enhanced(spark, sf_dir))
@@ -297,6 +339,24 @@ def kpi_table(spark, sf_dir):
     return rounded_kpi(kpi.kpi_table(enhanced(spark, sf_dir)), "value")
 
 
+@query
+def kpi_reach_approx(spark, sf_dir):
+    """Reach per product from sketches by day, beside the exact one: the estimate
+    holds when it is within its error or, for the smallest groups, within one."""
+    log = enhanced(spark, sf_dir)
+    sketches = tables.stage(kpi.reach_sketches(log))
+    estimated = kpi.merge_reach(sketches, ["virtual_site"]).withColumnRenamed(
+        "virtual_site", "of_product"
+    )
+    exact = kpi.product_reach(log)
+    off = F.abs(F.col("reach_estimate") - F.col("browser_count"))
+    bound = F.greatest(F.lit(1.0), F.col("browser_count") * kpi.reach_error())
+    same = F.col("virtual_site").eqNullSafe(F.col("of_product"))
+    return exact.join(estimated, same).select(
+        "virtual_site", "browser_count", (off <= bound).alias("estimate_holds")
+    )
+
+
 @query
 def product_reach(spark, sf_dir):
     return kpi.product_reach(enhanced(spark, sf_dir))
@@ -314,12 +374,12 @@ def browser_products(spark, sf_dir):
 
 @query
 def product_breadth(spark, sf_dir):
-    return rounded(kpi.product_breadth(enhanced(spark, sf_dir)), breadth=6)
+    return rounded(kpi.product_breadth(*_log_and_hot(spark, sf_dir)), breadth=6)
 
 
 @query
 def product_table(spark, sf_dir):
-    return rounded_kpi(kpi.product_table(enhanced(spark, sf_dir)), "value")
+    return rounded_kpi(kpi.product_table(*_log_and_hot(spark, sf_dir)), "value")
 
 
 # --- factor charts --------------------------------------------------------
@@ -343,7 +403,7 @@ def _cells(spark: SparkSession, sf_dir: str, chart: str | None = None) -> DataFr
 
 @query
 def factor_total_breadth(spark, sf_dir):
-    return factors.factor_total_breadth(_cells(spark, sf_dir))
+    return factors.factor_total_breadth(_cells(spark, sf_dir), hot=hot(spark, sf_dir))
 
 
 @query
@@ -359,18 +419,21 @@ def factor_use(spark, sf_dir):
 
 @query
 def factor_breadth(spark, sf_dir):
-    return rounded(factors.factor_breadth(_cells(spark, sf_dir)), value=6)
+    breadth = factors.factor_breadth(_cells(spark, sf_dir), hot=hot(spark, sf_dir))
+    return rounded(breadth, value=6)
 
 
 @query
 def factor_breadth_exact(spark, sf_dir):
-    exact = factors.factor_breadth(_cells(spark, sf_dir), exact_ratio=True)
+    cells = _cells(spark, sf_dir)
+    exact = factors.factor_breadth(cells, exact_ratio=True, hot=hot(spark, sf_dir))
     return rounded(exact, value=6, overall_value=6)
 
 
 def _chart(spark: SparkSession, sf_dir: str, chart: str) -> DataFrame:
     chosen = [f for f in FACTORS if f.chart == chart]
-    rows = factors.factor_table(_cells(spark, sf_dir, chart), chosen)
+    cells = _cells(spark, sf_dir, chart)
+    rows = factors.factor_table(cells, chosen, hot=hot(spark, sf_dir))
     return rounded_kpi(rows, "value", "overall_value")
 
 
@@ -392,16 +455,18 @@ def chart_when(spark, sf_dir):
 @query
 def dashboard_long(spark, sf_dir):
     return rounded_kpi(
-        charts.dashboard_long(enhanced(spark, sf_dir)), "value", "overall_value"
+        charts.dashboard_long(enhanced(spark, sf_dir), hot=hot(spark, sf_dir)),
+        "value",
+        "overall_value",
     )
 
 
 @query
 def dashboard_with_hex(spark, sf_dir):
     hexes = fixtures.region_hexes(spark, sf_dir)
-    return rounded_kpi(
-        charts.dashboard_with_hex(enhanced(spark, sf_dir), hexes), "value", "overall_value"
-    )
+    log, hot_browsers = _log_and_hot(spark, sf_dir)
+    dashboard = charts.dashboard_with_hex(log, hexes, hot_browsers)
+    return rounded_kpi(dashboard, "value", "overall_value")
 
 
 # --- explore --------------------------------------------------------------
@@ -409,23 +474,27 @@ def dashboard_with_hex(spark, sf_dir):
 
 @query
 def browser_metrics(spark, sf_dir):
-    return rounded(explore.browser_metrics(enhanced(spark, sf_dir)), time=0)
+    log, hot_browsers = _log_and_hot(spark, sf_dir)
+    return rounded(explore.browser_metrics(log, hot=hot_browsers), time=0)
 
 
 @query
 def factor_metrics(spark, sf_dir):
-    return rounded(explore.factor_metrics(enhanced(spark, sf_dir)), time=0)
+    log, hot_browsers = _log_and_hot(spark, sf_dir)
+    return rounded(explore.factor_metrics(log, hot=hot_browsers), time=0)
 
 
 @query
 def explore_factor(spark, sf_dir):
     region = [f for f in FACTORS if f.label == "region"]
-    return _explored(explore.explore_table(enhanced(spark, sf_dir), region))
+    log, hot_browsers = _log_and_hot(spark, sf_dir)
+    return _explored(explore.explore_table(log, region, hot_browsers))
 
 
 @query
 def explore_all(spark, sf_dir):
-    return _explored(explore.explore_table(enhanced(spark, sf_dir)))
+    log, hot_browsers = _log_and_hot(spark, sf_dir)
+    return _explored(explore.explore_table(log, hot=hot_browsers))
 
 
 def _explored(df: DataFrame) -> DataFrame:
@@ -435,6 +504,23 @@ def _explored(df: DataFrame) -> DataFrame:
 # --- schedule -------------------------------------------------------------
 
 
+@query
+def schedule_job(spark, sf_dir):
+    """The job from tables on disk, the facts ordered by day in each file."""
+    names = {}
+    for name, df in fixtures.schedule_tables(spark, sf_dir).items():
+        path = _new_folder(spark)
+        if name == "events":
+            df = df.sortWithinPartitions("publication_date")
+        df.write.parquet(path)
+        names[name] = f"parquet.`{path}`"
+    found = schedule_plan.read_schedule_tables(spark, names)
+    return schedule_plan.schedule_of_days(found, SCHEDULE_DAYS)
+
+
+SCHEDULE_DAYS = [date(1995, 8, day) for day in range(1, 15)]
+
+
 def _days() -> Column:
     return F.col("publication_date").between("1995-01-01", "1996-12-31")
 

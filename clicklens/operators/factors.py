@@ -19,7 +19,12 @@ from clicklens.operators.kpi import (
     product_reach,
     products_per_browser,
 )
-from clicklens.operators.skew import salted_join, with_group_values
+from clicklens.operators.skew import (
+    HotKeys,
+    hot_keys,
+    salted_join,
+    with_group_values,
+)
 from clicklens.schema import FACTORS, HIGHLIGHTS, KPI_LABELS, Factor
 
 FACTOR = ["factor", "factor_value"]
@@ -87,7 +92,7 @@ def factor_total_use(df: DataFrame, factors: Sequence[Factor] = FACTORS) -> Data
 
 
 def factor_total_breadth(
-    df: DataFrame, factors: Sequence[Factor] = FACTORS
+    df: DataFrame, factors: Sequence[Factor] = FACTORS, hot: HotKeys | None = None
 ) -> DataFrame:
     """Products of the browsers of a factor value, summed, and these browsers.
 
@@ -99,6 +104,7 @@ def factor_total_breadth(
             browsers.select("browser", *FACTOR),
             products_per_browser(_one_pass(df, factors)),
             ["browser"],
+            hot or hot_keys(df),
         )
         .groupBy(*FACTOR)
         .agg(
@@ -141,7 +147,10 @@ def factor_use(df: DataFrame, factors: Sequence[Factor] = FACTORS) -> DataFrame:
 
 
 def factor_breadth(
-    df: DataFrame, factors: Sequence[Factor] = FACTORS, exact_ratio: bool = False
+    df: DataFrame,
+    factors: Sequence[Factor] = FACTORS,
+    exact_ratio: bool = False,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Average number of products that the browsers of a product visit under the
     same factor value.
@@ -149,19 +158,20 @@ def factor_breadth(
     The overall value is a whole number, as the charts have it; with
     ``exact_ratio`` it is not cut off.
     """
+    hot = hot or hot_keys(df)
     cells = (
         _cells(df, factors)
         .dropna(subset=["browser", *FACTOR])
         .select("browser", "virtual_site", *FACTOR)
     )
     counted = with_group_values(
-        cells, ["browser", *FACTOR], {"products": F.count(F.lit(1))}
+        cells, ["browser", *FACTOR], {"products": F.count(F.lit(1))}, hot
     )
     breadth = counted.groupBy("virtual_site", *FACTOR).agg(
         (F.sum("products") / F.count(F.lit(1))).alias("value")
     )
     ratio = F.col("product_count") / F.col("browsers")
-    overall = factor_total_breadth(df, factors).select(
+    overall = factor_total_breadth(df, factors, hot).select(
         *FACTOR, (ratio if exact_ratio else F.floor(ratio)).alias("overall_value")
     )
     return _chart_rows(breadth.join(overall, FACTOR), "breadth")
@@ -184,6 +194,7 @@ def factor_totals(
     df: DataFrame,
     factors: Sequence[Factor] = FACTORS,
     products: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """All three overall KPIs per factor value in one pass.
 
@@ -195,6 +206,7 @@ def factor_totals(
         factor_browsers(df, factors),
         products_per_browser(products),
         ["browser"],
+        hot or hot_keys(df),
         "left",
     )
     browsers = F.count("browser")
@@ -211,18 +223,21 @@ def factor_table(
     df: DataFrame,
     factors: Sequence[Factor] = FACTORS,
     products: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """All KPIs of the factors in chart form.
 
     One aggregate of the cells gives the three KPIs of a product and factor
     value side by side; they are turned into rows at the end.
     """
+    hot = hot or hot_keys(df)
     if products is None:
         products = product_cells(_one_pass(df, factors))
     counted = with_group_values(
         _cells(df, factors).dropna(subset=FACTOR),
         ["browser", *FACTOR],
         {"products": F.count(F.lit(1))},
+        hot,
     )
     browsers = F.count("browser")
     wide = (
@@ -237,7 +252,7 @@ def factor_table(
             "virtual_site",
             "left",
         )
-        .join(factor_totals(df, factors, products), FACTOR)
+        .join(factor_totals(df, factors, products, hot), FACTOR)
     )
     # a missing product has no reach, and where no browser is known no breadth
     present = {

@@ -1,8 +1,12 @@
 """Broadcast schedule: programmes of given days with duration and genres.
 
-The facts are cut to the days and made distinct before any join, and genres are
-mapped and made distinct before they meet the facts, so that the join multiplies
-a row by the number of broad genres at most.
+The facts of the days lead: they are cut to the days and made distinct, then meet
+versions, assets and genres in turn, so that each dimension is joined to what the
+days need of it and never to another whole dimension. Genres are cut to the
+assets of the days, mapped and made distinct before they meet the facts, so that
+the join multiplies a row by the number of broad genres at most. No window or
+aggregate needs the rows of a key together here, so skewed joins are left to
+adaptive execution.
 """
 
 from __future__ import annotations
@@ -12,7 +16,6 @@ from pyspark.sql import functions as F
 
 from clicklens.functions.clock import wrap_duration
 from clicklens.functions.genre import map_genre
-from clicklens.operators.skew import salted_join
 
 PROGRAMME = [
     "billed_title",
@@ -38,40 +41,31 @@ def _facts(events: DataFrame, days: Column) -> DataFrame:
     return events.filter(days & (F.col("planned_event_indicator") == 0)).select(*FACT)
 
 
-def _star(
-    facts: DataFrame,
-    all_facts: DataFrame,
-    services: DataFrame,
-    versions: DataFrame,
-    assets: DataFrame,
-    genres: DataFrame,
-) -> DataFrame:
-    """Facts with channel and genres. The dimension tables are joined to each
-    other first, so the facts are shuffled for two joins only. Group sizes come
-    from ``all_facts``, which may hold copies but need no shuffle."""
+def _with_assets(facts: DataFrame, versions: DataFrame, assets: DataFrame) -> DataFrame:
+    """Facts with the asset of their version."""
+    version = versions.select(F.col("id").alias("product_version_id"), "media_asset_id")
+    asset = assets.select(F.col("id").alias("media_asset_id"))
+    return facts.join(version, "product_version_id").join(asset, "media_asset_id")
+
+
+def _star(facts: DataFrame, services: DataFrame, genres: DataFrame) -> DataFrame:
+    """Facts that know their asset, with channel and genres."""
     channel = services.select(
         F.col("id").alias("service_id"), F.col("name").alias("channel")
     )
-    asset_genres = assets.select(F.col("id").alias("media_asset_id")).join(
-        genres.select("media_asset_id", "genre"), "media_asset_id", "left"
-    )
-    version_genres = salted_join(
-        versions.select(F.col("id").alias("product_version_id"), "media_asset_id"),
-        asset_genres,
-        ["media_asset_id"],
-    ).drop("media_asset_id")
-    with_channel = salted_join(facts, channel, ["service_id"], sized_by=all_facts)
     start, end = F.col("publication_start_s"), F.col("publication_end_s")
-    return salted_join(
-        with_channel, version_genres, ["product_version_id"], sized_by=all_facts
-    ).select(
-        "billed_title",
-        "publication_date",
-        start.alias("publication_start_time"),
-        end.alias("publication_end_time"),
-        wrap_duration(start, end).alias("duration"),
-        "channel",
-        "genre",
+    return (
+        facts.join(channel, "service_id")
+        .join(genres.select("media_asset_id", "genre"), "media_asset_id", "left")
+        .select(
+            "billed_title",
+            "publication_date",
+            start.alias("publication_start_time"),
+            end.alias("publication_end_time"),
+            wrap_duration(start, end).alias("duration"),
+            "channel",
+            "genre",
+        )
     )
 
 
@@ -84,8 +78,7 @@ def schedule_base(
     days: Column,
 ) -> DataFrame:
     """The star join: a row per programme and genre text of its asset."""
-    facts = _facts(events, days)
-    return _star(facts, facts, services, versions, assets, genres)
+    return _star(_with_assets(_facts(events, days), versions, assets), services, genres)
 
 
 def schedule_dedup(
@@ -97,13 +90,13 @@ def schedule_dedup(
     days: Column,
 ) -> DataFrame:
     """Distinct programmes with each broad genre (NULL for none)."""
-    broad = genres.select(
-        "media_asset_id", map_genre(F.col("genre")).alias("genre")
-    ).distinct()
-    facts = _facts(events, days)
-    return _star(
-        facts.distinct(), facts, services, versions, assets, broad
-    ).distinct()
+    facts = _with_assets(_facts(events, days).distinct(), versions, assets)
+    broad = (
+        genres.join(facts.select("media_asset_id").distinct(), "media_asset_id", "left_semi")
+        .select("media_asset_id", map_genre(F.col("genre")).alias("genre"))
+        .distinct()
+    )
+    return _star(facts, services, broad).distinct()
 
 
 def schedule_extract(

@@ -10,6 +10,9 @@ of ordinary size it needs one shuffle and one sort: all windows share the
 partitioning by browser and the order by time. A large browser is first reduced
 to its distinct moments, which are scanned digit by digit (``ordered_scan``)
 and joined back, so that no task ever holds the browser.
+
+Operators take the hot browsers of the log (``hot_keys``); without them they
+count for themselves.
 """
 
 from __future__ import annotations
@@ -18,9 +21,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicklens.operators.skew import (
+    HotKeys,
+    hot_keys,
     ordered_scan,
     salted_join,
-    split_large,
+    split_hot,
     with_group_values,
     with_position,
 )
@@ -33,7 +38,9 @@ def mark_entries(clicks: DataFrame) -> DataFrame:
     )
 
 
-def number_entries(marked: DataFrame, order: str = "time") -> DataFrame:
+def number_entries(
+    marked: DataFrame, order: str = "time", hot: HotKeys | None = None
+) -> DataFrame:
     """Entries only, numbered 1..n per browser in ``session``.
 
     ``order="time"`` goes by timestamp, ``order="input"`` by the row order of
@@ -43,7 +50,8 @@ def number_entries(marked: DataFrame, order: str = "time") -> DataFrame:
         raise ValueError(f"unknown order: {order}")
     by = F.col("ts") if order == "time" else F.col("is_shifted").cast("bigint")
     entries = marked.filter(F.col("first_page") == 1)
-    return with_position(entries, ["browser"], by, "v1", "session")
+    hot = hot or hot_keys(entries)
+    return with_position(entries, ["browser"], by, "v1", "session", hot)
 
 
 def entries_per_browser(numbered: DataFrame) -> DataFrame:
@@ -105,13 +113,68 @@ def _blocks_of_span(level: int, start: Column, end: Column) -> Column:
     ).otherwise(run(low, high))
 
 
-def assign_by_span(pages: DataFrame, spans: DataFrame) -> DataFrame:
+def assign_by_span(
+    pages: DataFrame,
+    spans: DataFrame,
+    overlapping: bool = True,
+    hot: HotKeys | None = None,
+) -> DataFrame:
     """Range join: every page with the sessions of its browser whose span
     ``[ts, end_ts)`` holds it. A NULL ``end_ts`` leaves the span open.
 
+    Spans of one browser that do not overlap, as entries numbered by time give
+    them, are merged with the pages: both are shuffled once and the span that
+    opened last is carried along. Such a merge raises an error if two spans do
+    overlap. Overlapping spans, and all spans of hot browsers, are matched by
+    aligned blocks.
+    """
+    hot = hot or hot_keys(pages)
+    if overlapping:
+        return _assign_by_block(pages, spans, hot)
+    small_pages, large_pages = split_hot(pages, hot)
+    small_spans, large_spans = split_hot(spans, hot)
+    merged = _assign_by_merge(small_pages, small_spans)
+    if large_pages is None:
+        return merged
+    return merged.unionByName(_assign_by_block(large_pages, large_spans, hot))
+
+
+def _assign_by_merge(pages: DataFrame, spans: DataFrame) -> DataFrame:
+    """One union by browser; a span stands before the pages of its first moment."""
+    opens = F.struct(F.col("session"), F.coalesce("end_ts", F.lit(OPEN_END)).alias("end"))
+    openings = spans.filter(F.col("ts") < F.coalesce("end_ts", F.lit(OPEN_END))).select(
+        F.col("browser").alias("of_browser"),
+        F.col("ts").alias("at"),
+        opens.alias("span"),
+        F.lit(None).cast(pages.schema).alias("page"),
+    )
+    seen = pages.filter("browser IS NOT NULL AND ts IS NOT NULL").select(
+        F.col("browser").alias("of_browser"),
+        F.col("ts").alias("at"),
+        F.lit(None).cast(openings.schema["span"].dataType).alias("span"),
+        F.struct(*pages.columns).alias("page"),
+    )
+    in_order = Window.partitionBy("of_browser").orderBy("at", F.col("span").isNull())
+    last = F.last("span", ignorenulls=True)
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    # no page follows at the moment of a span but behind it, so ROWS will do
+    joined = openings.unionByName(seen).select(
+        "*", last.over(before).alias("open"), F.col("span").isNull().alias("is_page")
+    )
+    clash = ~F.col("is_page") & (F.col("open.end") > F.col("at"))
+    checked = F.when(clash, F.raise_error(F.lit("spans overlap")).cast("boolean")).otherwise(
+        F.col("is_page") & (F.col("at") < F.col("open.end"))
+    )
+    return joined.filter(checked).select("page.*", "open.session")
+
+
+def _assign_by_block(pages: DataFrame, spans: DataFrame, hot: HotKeys) -> DataFrame:
+    """Block matches.
+
     A span is cut into at most 30 aligned blocks per level, and a page looks
-    up the one block per level that holds it. A block match *is* a result row,
-    so the work grows with pages, spans and results, not with their product.
+    up the one block that holds it on each level that spans use. A match *is* a
+    result row, so the work grows with pages, spans and results, not with their
+    product.
     """
     start = F.col("ts")
     end = F.coalesce("end_ts", F.lit(OPEN_END))
@@ -126,33 +189,33 @@ def assign_by_span(pages: DataFrame, spans: DataFrame) -> DataFrame:
         )
         .select("browser", "session", "level", F.explode("blocks").alias("block"))
     )
-    found = ["browser", "level", "block"]
-    # a block has no more pages than its browser: look for large ones there
-    _, busy = split_large(pages, ["browser"])
-    if busy is None:
-        joined = _blocks_of_pages(pages).join(span_blocks, found)
-    else:
-        joined = salted_join(
-            _blocks_of_pages(pages),
-            span_blocks,
-            found,
-            row_key=["v1"],
-            sized_by=_blocks_of_pages(busy),
+    used = span_blocks.agg(F.collect_set("level").alias("levels")).scalar()
+    levels = F.array(
+        *[
+            F.struct(F.lit(i).alias("level"), F.shiftright("ts", BLOCK_BITS * i).alias("block"))
+            for i in range(BLOCK_LEVELS)
+        ]
+    )
+    page_blocks = (
+        pages.withColumn("levels", used)
+        .withColumn(
+            "found", F.explode(F.filter(levels, lambda x: F.array_contains("levels", x["level"])))
         )
-    return joined.select(*pages.columns, "session")
-
-
-def _blocks_of_pages(pages: DataFrame) -> DataFrame:
-    blocks = [F.shiftright("ts", BLOCK_BITS * i) for i in range(BLOCK_LEVELS)]
-    return pages.select("*", F.posexplode(F.array(*blocks)).alias("level", "block"))
+        .select(*pages.columns, "found.level", "found.block")
+    )
+    found = ["browser", "level", "block"]
+    return salted_join(page_blocks, span_blocks, found, hot, row_key=["v1"]).select(
+        *pages.columns, "session"
+    )
 
 
-def trace_visits(marked: DataFrame) -> DataFrame:
+def trace_visits(marked: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Adds ``session``, ``exit_page`` (1 or NULL) and ``time`` (milliseconds to
     the next page of the session, NULL on its last page)."""
-    small, large = split_large(marked, ["browser"])
+    hot = hot or hot_keys(marked)
+    small, large = split_hot(marked, hot)
     traced = _trace_small(small)
-    return traced if large is None else traced.unionByName(_trace_large(large))
+    return traced if large is None else traced.unionByName(_trace_large(large, hot))
 
 
 def _traced(
@@ -212,11 +275,9 @@ def _trace_small(marked: DataFrame) -> DataFrame:
     )
 
 
-def _trace_large(marked: DataFrame) -> DataFrame:
-    # one row per large browser, so fewer than MAX_LARGE_GROUPS
-    totals = F.broadcast(
-        marked.groupBy("browser").agg(F.sum("first_page").alias("entries"))
-    )
+def _trace_large(marked: DataFrame, hot: HotKeys) -> DataFrame:
+    # a row per hot browser
+    totals = marked.groupBy("browser").agg(F.sum("first_page").alias("entries"))
     moments = (
         marked.filter(F.col("ts").isNotNull())
         .groupBy("browser", "ts")
@@ -240,9 +301,9 @@ def _trace_large(marked: DataFrame) -> DataFrame:
         marked.join(totals, "browser", "left"),
         visits,
         ["browser", "ts"],
+        hot,
         "left",
         row_key=["v1"],
-        sized_by=marked,
     )
     session = F.coalesce("visit", F.when(one_visit, 1).otherwise(0))
     has_moment = F.col("visit").isNotNull()
@@ -256,9 +317,9 @@ def _trace_large(marked: DataFrame) -> DataFrame:
     )
 
 
-def assign_sessions(marked: DataFrame) -> DataFrame:
+def assign_sessions(marked: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Adds ``session`` to every page."""
-    return trace_visits(marked).drop("exit_page", "time")
+    return trace_visits(marked, hot).drop("exit_page", "time")
 
 
 def carry_over_pages(assigned: DataFrame) -> DataFrame:
@@ -266,10 +327,14 @@ def carry_over_pages(assigned: DataFrame) -> DataFrame:
     return assigned.filter(F.col("session") == 0)
 
 
-def mark_exits(assigned: DataFrame) -> DataFrame:
+def mark_exits(assigned: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Adds ``exit_page``: 1 for every page at the last moment of its session."""
     last = with_group_values(
-        assigned, ["browser", "session"], {"last_ts": F.max("ts")}, row_key=["v1"]
+        assigned,
+        ["browser", "session"],
+        {"last_ts": F.max("ts")},
+        hot or hot_keys(assigned),
+        row_key=["v1"],
     )
     return last.withColumn(
         "exit_page", F.when(F.col("ts") == F.col("last_ts"), F.lit(1))

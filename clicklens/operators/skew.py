@@ -1,27 +1,29 @@
 """Building blocks that stay exact and spread when one key holds a large
 share of the rows.
 
-A group is *large* when it has more rows than ``LARGE_GROUP_CONF`` and more
-than a ``MAX_LARGE_GROUPS``-th of all rows. So there are fewer than
-``MAX_LARGE_GROUPS`` large groups whatever the data, and their keys can be
-broadcast; every other group fits one task.
-
-Group sizes come from a grouped count, which is combined before it is shuffled.
-Its maximum is looked up when an operator is called; as a rule no group is
-large, and the plan is then the plain one without a branch for large groups.
+A key value is *hot* when it has more rows than ``LARGE_GROUP_CONF``: more than
+one task should hold. ``hot_keys`` counts the log once, and its result is handed
+from operator to operator; all that an operator groups by the key and further
+columns is smaller than the key's own group, so one count serves them all. As a
+rule no key is hot, and plans are then the plain ones without a branch for hot
+keys. An operator that is given the keys runs no job while its plan is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clicklens.sources.tables import stage, stage_folder
+
 LARGE_GROUP_CONF = "spark.clicklens.largeGroupRows"
 LARGE_GROUP_ROWS = 2_000_000
-MAX_LARGE_GROUPS = 100_000
+# More hot keys than this are never held by the driver.
+MAX_LOCAL_KEYS = 10_000
 
 # An ordering key is read in three digits of this many bits, so that no task
 # orders more than 2**21 values.
@@ -29,54 +31,56 @@ DIGIT_BITS = 21
 UPPER_DIGITS = 2
 
 
-def any_null(keys: Sequence[str]) -> Column:
-    return reduce(Column.__or__, [F.col(key).isNull() for key in keys])
+@dataclass(frozen=True)
+class HotKeys:
+    """The hot values of a column, in a table with how many times the limit each
+    of them holds (``parts``); None when there are none. ``nulls`` tells whether
+    the rows without a value are more than the limit, too."""
 
+    column: str
+    table: DataFrame | None
+    nulls: bool = False
 
-def large_groups(
-    df: DataFrame, keys: Sequence[str], values: dict[str, Column] | None = None
-) -> DataFrame | None:
-    """The large groups with aggregates of them, or None when there are none.
 
-    ``parts`` says how many times the limit a group holds. NULL keys form no
-    group.
+def hot_keys(df: DataFrame, column: str = "browser") -> HotKeys:
+    """Counts the rows of each value of a column.
+
+    The counts are combined before they are shuffled. A row over the limit makes
+    a value hot whatever the size of the data, so the table grows with it; its
+    joins carry no broadcast hint.
     """
-    conf = df.sparkSession.conf
-    sizes = (
-        df.dropna(subset=list(keys))
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("group_rows"),
-            *[value.alias(name) for name, value in (values or {}).items()],
-        )
-    )
-    most, rows = sizes.agg(F.max("group_rows"), F.sum("group_rows")).first()
-    limit = max(
-        int(conf.get(LARGE_GROUP_CONF, str(LARGE_GROUP_ROWS))),
-        (rows or 0) // MAX_LARGE_GROUPS + 1,
-    )
-    if (most or 0) <= limit:
-        return None
-    return F.broadcast(
-        sizes.filter(F.col("group_rows") > limit).select(
-            *keys,
-            F.ceil(F.col("group_rows") / limit).alias("parts"),
-            *(values or {}),
-        )
+    spark = df.sparkSession
+    limit = int(spark.conf.get(LARGE_GROUP_CONF, str(LARGE_GROUP_ROWS)))
+    large = (
+        df.groupBy(column)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .filter(F.col("rows") > limit)
+        .select(column, F.ceil(F.col("rows") / limit).alias("parts"))
     )
+    staged = stage_folder(spark) is not None
+    if staged:
+        large = stage(large)
+    # NULL comes first, if it is there
+    found = large.orderBy(F.col(column).asc_nulls_first()).limit(MAX_LOCAL_KEYS + 1).collect()
+    nulls = bool(found) and found[0][0] is None
+    if len(found) == nulls:
+        return HotKeys(column, None, nulls)
+    if not staged and len(found) <= MAX_LOCAL_KEYS:
+        large = spark.createDataFrame(found, large.schema)
+    return HotKeys(column, large.filter(F.col(column).isNotNull()), nulls)
 
 
-def split_large(
-    df: DataFrame, keys: Sequence[str]
-) -> tuple[DataFrame, DataFrame | None]:
-    """The rows outside large groups (NULL keys included) and those inside."""
-    keys = list(keys)
-    large = large_groups(df, keys)
-    if large is None:
+def any_null(keys: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.col(key).isNull() for key in keys])
+
+
+def split_hot(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ordinary keys (NULL included) and those of hot ones."""
+    if hot.table is None:
         return df, None
-    large = large.select(*keys)
+    keys = hot.table.select(hot.column)
     # a join on names moves them to the front
-    rest, inside = (df.join(large, keys, how) for how in ("left_anti", "left_semi"))
+    rest, inside = (df.join(keys, hot.column, how) for how in ("left_anti", "left_semi"))
     return rest.select(*df.columns), inside.select(*df.columns)
 
 
@@ -84,18 +88,19 @@ def with_group_values(
     df: DataFrame,
     keys: Sequence[str],
     values: dict[str, Column],
+    hot: HotKeys,
     row_key: Sequence[str] | None = None,
 ) -> DataFrame:
     """``df`` with aggregates of each row's group; NULL for rows with a NULL key.
 
-    ``row_key`` names columns that tell rows apart (default: all of them).
+    The hot column is one of ``keys``. ``row_key`` names columns that tell rows
+    apart (default: all of them).
     """
     keys = list(keys)
-    large = large_groups(df, keys, values)
+    small, large = split_hot(df, hot)
     # a row with a NULL key belongs to no group, so it is a window of its own
     alone = F.when(any_null(keys), F.xxhash64(*(row_key or df.columns)))
     group = Window.partitionBy(*keys, "alone")
-    small = df if large is None else df.join(large.select(*keys), keys, "left_anti")
     valued = small.withColumn("alone", alone).select(
         *df.columns,
         *[
@@ -105,37 +110,39 @@ def with_group_values(
     )
     if large is None:
         return valued
-    return valued.unionByName(df.join(large, keys).select(*df.columns, *values))
+    groups = (
+        large.dropna(subset=keys)
+        .groupBy(*keys)
+        .agg(*[value.alias(name) for name, value in values.items()])
+    )
+    return valued.unionByName(salted_join(large, groups, keys, hot, "left", row_key))
 
 
 def salted_join(
     facts: DataFrame,
     lookup: DataFrame,
     keys: Sequence[str],
+    hot: HotKeys,
     how: str = "inner",
     row_key: Sequence[str] | None = None,
-    sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Inner or left equi-join that cuts large groups of facts into salted
-    parts; each part meets a copy of its own of the lookup rows.
-
-    A group is cut into as many parts as it holds limits, so all large groups
-    together have fewer than ``2 * MAX_LARGE_GROUPS`` parts. ``row_key`` names
-    columns that tell rows apart (default: all of them). ``sized_by`` is a
-    cheaper frame with the same keys to take group sizes from; it decides how
-    rows spread, not what comes out.
+    """Inner or left equi-join that cuts the facts of a hot key into as many
+    parts as it holds limits; each part meets a copy of its own of the lookup
+    rows. The hot column is one of ``keys``. ``row_key`` names columns that tell
+    rows apart (default: all of them).
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
     keys = list(keys)
     columns = [*facts.columns, *[c for c in lookup.columns if c not in keys]]
-    parts = large_groups(facts if sized_by is None else sized_by, keys)
-    if parts is None and how == "inner":
+    if hot.table is None and how == "inner":
         return facts.join(lookup, keys).select(*columns)
 
     one = F.lit(1).cast("bigint")
     parted_facts, parted_lookup = (
-        df.withColumn("parts", one) if parts is None else df.join(parts, keys, "left")
+        df.withColumn("parts", one)
+        if hot.table is None
+        else df.join(hot.table, hot.column, "left")
         for df in (facts, lookup)
     )
     content = F.xxhash64(*(row_key or facts.columns))
@@ -216,7 +223,12 @@ def _scan_window(df: DataFrame, group: list[str], key: str, value: str) -> DataF
 
 
 def with_position(
-    df: DataFrame, group: Sequence[str], order: Column, row_id: str, name: str
+    df: DataFrame,
+    group: Sequence[str],
+    order: Column,
+    row_id: str,
+    name: str,
+    hot: HotKeys,
 ) -> DataFrame:
     """Position 1..n in each group by a BIGINT order (NULLs last), then row id.
 
@@ -232,7 +244,12 @@ def with_position(
         {**filled, **absent, "order_key": F.coalesce(order.cast("bigint"), last)}
     )
     columns = [*df.columns, F.col("position").cast("bigint").alias(name)]
-    small, large = split_large(keyed, keys)
+    small, large = split_hot(keyed, hot)
+    if hot.nulls:
+        absent_key = F.col(hot.column).isNull()
+        without = keyed.filter(absent_key)
+        large = without if large is None else large.unionByName(without)
+        small = small.filter(~absent_key)
 
     in_order = Window.partitionBy(*keys).orderBy("order_key", row_id)
     numbered = small.withColumn("position", F.row_number().over(in_order))
@@ -245,7 +262,5 @@ def with_position(
         *moment, (F.col("running") - F.col("moment_rows")).alias("rows_before")
     )
     ranked = ordered_scan(large.withColumn("one", F.lit(1)), moment, row_id, "one")
-    placed = salted_join(
-        ranked, before, moment, row_key=[row_id], sized_by=large
-    ).withColumn("position", F.col("rows_before") + F.col("running"))
+    placed = ranked.join(before, moment).withColumn("position", F.col("rows_before") + F.col("running"))
     return numbered.select(*columns).unionByName(placed.select(*columns))

@@ -1 +1 @@
-"""The three jobs: enhance a log, build the dashboard, build the explore table."""
+"""The jobs: enhance a log, build dashboard and explore tables, extract a schedule."""

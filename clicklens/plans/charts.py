@@ -15,25 +15,30 @@ from clicklens.operators.factors import (
     with_region_hex,
 )
 from clicklens.operators.kpi import kpi_table, product_cells, product_table
+from clicklens.operators.skew import HotKeys, hot_keys
 from clicklens.schema import DASHBOARD_COLUMNS, FACTORS, Factor
 from clicklens.sources.clicks import read_region_lookup
 from clicklens.sources.tables import job, read_enhanced, stage, write_extract
 
 
 def dashboard_long(
-    enhanced: DataFrame, factors: Sequence[Factor] = FACTORS
+    enhanced: DataFrame,
+    factors: Sequence[Factor] = FACTORS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """All charts of the dashboard in one long table.
 
     Two staged tables serve every chart: the factor cells, for which the log is
-    passed over once, and the product cells made from those of one factor.
+    passed over once, and the product cells made from those of one factor. Hot
+    browsers are counted once, from the cells of one factor, unless given.
     """
     cells = stage(factor_cells(enhanced, factors), sort_by="factor")
     products = stage(product_cells(cells.filter(F.col("factor") == factors[0].label)))
+    hot = hot or hot_keys(products)
     charts = [
         kpi_table(products),
-        product_table(products),
-        factor_table(cells, factors, products),
+        product_table(products, hot),
+        factor_table(cells, factors, products, hot),
         highlight_rows(enhanced.sparkSession),
     ]
     stacked = charts[0]
@@ -42,9 +47,11 @@ def dashboard_long(
     return stacked.select(*DASHBOARD_COLUMNS)
 
 
-def dashboard_with_hex(enhanced: DataFrame, hexes: DataFrame) -> DataFrame:
+def dashboard_with_hex(
+    enhanced: DataFrame, hexes: DataFrame, hot: HotKeys | None = None
+) -> DataFrame:
     """The dashboard table with map positions."""
-    return with_region_hex(dashboard_long(enhanced), hexes)
+    return with_region_hex(dashboard_long(enhanced, hot=hot), hexes)
 
 
 def run_charts(
@@ -60,5 +67,6 @@ def run_charts(
     enhanced = read_enhanced(spark, enhanced_path)
     hexes = read_region_lookup(spark, hexes_path)
     with job(spark):
-        write_extract(dashboard_with_hex(enhanced, hexes), dashboard_path, fmt, mode)
-    write_extract(explore_table(enhanced), explore_path, fmt, mode)
+        hot = hot_keys(enhanced)
+        write_extract(dashboard_with_hex(enhanced, hexes, hot), dashboard_path, fmt, mode)
+        write_extract(explore_table(enhanced, hot=hot), explore_path, fmt, mode)

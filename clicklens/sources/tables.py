@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clicklens.schema import ENHANCED_COLUMNS
@@ -64,6 +64,18 @@ def stage(df: DataFrame, sort_by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_observed(
+    df: DataFrame, **metrics: Column
+) -> tuple[DataFrame | None, dict]:
+    """``df`` staged, and aggregates of it that were taken while it was written;
+    None and no values without a shared folder."""
+    if stage_folder(df.sparkSession) is None:
+        return None, {}
+    seen = Observation()
+    named = [metric.alias(name) for name, metric in metrics.items()]
+    return stage(df.observe(seen, *named)), seen.get
+
+
 @contextmanager
 def job(spark: SparkSession) -> Iterator[None]:
     """Deletes what is staged inside, when its result has been written."""

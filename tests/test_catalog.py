@@ -32,10 +32,21 @@ def test_query(spark, con, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["span_join", "trace_visits_day_ties", "schedule_extract"]
+    "name",
+    [
+        "span_join",
+        "span_join_overlapping",
+        "trace_visits_day_ties",
+        "mark_exits",
+        "product_table",
+        "factor_breadth",
+        "dashboard_long",
+        "browser_metrics",
+        "explore_all",
+    ],
 )
-def test_query_when_most_groups_are_large(spark, con, name):
-    spark.conf.set(LARGE_GROUP_CONF, "20")
+def test_query_when_most_browsers_are_hot(spark, con, name):
+    spark.conf.set(LARGE_GROUP_CONF, "10")
     try:
         assert difference(name, spark, con, SF_DIR) is None
     finally:

@@ -122,3 +122,42 @@ def test_stage_keeps_rows_and_schema(spark):
     staged = tables.stage(df)
     assert sorted(map(tuple, staged.collect()), key=repr) == [(1, "a"), (2, None)]
     assert staged.schema.simpleString() == df.schema.simpleString()
+
+
+BROKEN = [
+    "v1,browser,ts,day,hour,entry,page,url,previous,site,region,platform,app",
+    '1,b1,1,d,1,e,"page with',
+    'two, ""breaks""',
+    'and a comma",/u,p,s,r,pl,web',
+    '2,b1,2,d,1,e,page,/u,p,"stray|,r,pl,web',
+    "3,b2,3,d,1,e,page,/u,p,s,r,pl,web",
+    '4,b2,4,d,1,e,"opened',
+    'here",/u,"and ',
+    'again",s,r,pl,web',
+    '5,b2,5,d,1,e,"cut short',
+    '6,b2,6,d,1,e,"page, six",/u,p,s,r,pl,web',
+    '7,b2,7,d,1,e,"never closed',
+    "8,b2,8,d,1,e,page,/u,p,s,r,pl,web",
+]
+RECORDS = [
+    "\n".join(BROKEN[1:4]),
+    *BROKEN[4:6],
+    "\n".join(BROKEN[6:9]),
+    *BROKEN[9:],
+]
+
+
+@pytest.mark.parametrize("part_bytes", ["128m", "64b", "37b"])
+def test_records_over_several_lines(spark, tmp_path, part_bytes):
+    (tmp_path / "a.csv").write_text("\n".join(BROKEN) + "\n")
+    (tmp_path / "b.csv").write_text(BROKEN[0] + "\n" + BROKEN[5] + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", part_bytes)
+    try:
+        got = [r.line for r in clicks.read_lines(spark, str(tmp_path)).collect()]
+        page = {r.v1: r.page for r in clicks.read_clicks(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(got) == sorted([*RECORDS, BROKEN[5]])
+    assert page[1] == 'page with\ntwo, ""breaks""\nand a comma'
+    assert page[6] == "page, six"
