@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from math import e, log
@@ -21,7 +22,10 @@ BLOCKS = frozenset(
     " html legend li main menu nav ol optgroup option p pre section summary table"
     " tbody td tfoot th thead tr ul".split()
 )
-RAW = "script|style|textarea|title|noscript|template|iframe|xmp|noframes|svg|math"
+# Elements that hold no elements; an ``svg`` may end in its own tag.
+RAW = frozenset(
+    "script style textarea title noscript template iframe xmp noframes svg".split()
+)
 # Opening one of these ends an open element of the set, up to a container.
 ENDS = {
     "li": {"li"},
@@ -36,24 +40,25 @@ LIMITS = frozenset("ul ol dl table body html div section article select".split()
 # Elements that never are main text.
 APART = frozenset(
     "aside button dialog footer form head header input menu nav script select style"
-    " noscript template iframe textarea title svg math object canvas audio video".split()
+    " noscript template iframe textarea title svg object canvas audio video".split()
 )
-# Words in class, id or role of an element that is not main text.
+# A class, id or role of an element that is not main text.
 NOISE = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs"
+    "ad ads adv ad-slot ad-container ad-banner advert adverts advertisement advertising banner breadcrumb breadcrumbs"
     " comment comments complementary contentinfo cookie cookies consent dialog"
     " disclaimer discussion disqus footer gdpr masthead menu modal nav navbar"
     " navigation newsletter notice notices pagination popup promo promoted promotion"
-    " related reply replies respond search share sharing sidebar social sponsor"
-    " sponsored subscribe tags toolbar widget widgets".split()
+    " related reply replies respond search share sharing sidebar side-bar social"
+    " social-links social-share share-buttons related-posts related-articles"
+    " cookie-banner cookie-bar cookie-consent cookie-notice gdpr-banner"
+    " newsletter-signup comment-list comments-area comment-section site-footer"
+    " site-header page-footer page-header main-nav main-menu site-nav nav-menu"
+    " sponsor sponsored subscribe tags toolbar widget widgets".split()
 )
 
-TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?P<rattrs>[^>]*)>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<tag>/?[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*>",
-    re.IGNORECASE | re.DOTALL,
-)
+TAG_NAME = re.compile(r"</?[a-z][^\s/>]*", re.IGNORECASE)
+ATTRIBUTES = re.compile(r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in RAW}
 NAMING = re.compile(
     r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE
 )
@@ -66,74 +71,153 @@ SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "apart", "chars", "tags", "linked", "links")
+    __slots__ = (
+        "tag", "parent", "items", "apart", "doubtful", "chars", "tags", "linked", "links"
+    )
 
-    def __init__(self, tag: str, parent: Node | None, apart: bool) -> None:
-        self.tag, self.parent, self.apart = tag, parent, apart
+    def __init__(self, tag: str, parent: Node | None, doubtful: bool) -> None:
+        self.tag, self.parent, self.doubtful = tag, parent, doubtful
+        self.apart = False
         self.items: list[Node | str] = []  # children and texts in page order
         self.chars = self.tags = self.linked = self.links = 0
 
 
-def _is_apart(tag: str, attrs: str, inside: frozenset[str]) -> bool:
+def _is_doubtful(tag: str, attrs: str, in_article: bool) -> bool:
+    """Whether an element is not main text by its tag or by a whole name."""
     if tag in APART:
         # an article may have a header of its own, with its headline
-        return not (tag == "header" and "article" in inside)
+        return not (tag == "header" and in_article)
     if not attrs:
         return False
     if HIDDEN.search(attrs):
         return True
-    for values in NAMING.findall(attrs):
-        for name in "".join(values).lower().split():
-            if name in NOISE or NOISE & set(re.split(r"[-_]+", name)):
-                return True
-    return False
+    return any(
+        name in NOISE
+        for values in NAMING.findall(attrs)
+        for name in "".join(values).lower().split()
+    )
+
+
+def tokens(html: str) -> Iterator[tuple[str, str]]:
+    """Texts as ``("", text)`` and tags as ``(name, attributes)``, end tags with a
+    slash before the name. Comments and the content of raw elements are left out.
+
+    A quote that is never closed would hide the rest of the page: once one is met,
+    tags end at the next ``>``. So is what a page lacks looked for only once, and
+    the time grows with the length of the page.
+    """
+    at, length, quoted = 0, len(html), True
+    no_end: set[str] = set()
+    while at < length:
+        start = html.find("<", at)
+        if start < 0:
+            yield "", html[at:]
+            return
+        if start > at:
+            yield "", html[at:start]
+        if html.startswith("<!--", start):
+            end = html.find("-->", start + 4)
+            at = length if end < 0 else end + 3
+            continue
+        name = TAG_NAME.match(html, start)
+        if name is None:
+            end = html.find(">", start) if html[start + 1 : start + 2] in ("!", "?", "/") else -1
+            if end < 0:
+                yield "", "<"
+            at = start + 1 if end < 0 else end + 1
+            continue
+        rest = ATTRIBUTES.match(html, name.end()) if quoted else None
+        if rest is not None:
+            attrs, at = rest[1], rest.end()
+        else:
+            quoted = False
+            end = html.find(">", name.end())
+            if end < 0:
+                yield "", html[start:]
+                return
+            attrs, at = html[name.end() : end], end + 1
+        tag = name[0][1:].lower()
+        if tag in RAW and not (tag == "svg" and attrs.endswith("/")):
+            close = None if tag in no_end else RAW_END[tag].search(html, at)
+            if close is not None:
+                at = close.end()
+            elif tag == "svg":
+                no_end.add(tag)
+            else:
+                at = length
+            continue
+        yield tag, attrs
 
 
 def parse(html: str) -> Node:
     """The elements and texts of a page, with the end tags it leaves out."""
     root = Node("body", None, False)
-    at, end = root, 0
+    at = root
+    is_open: Counter[str] = Counter()
 
-    def close_to(names: set[str], limits: frozenset[str]) -> None:
+    def leave(node: Node) -> None:
+        """Ends a node and all that is open in it."""
         nonlocal at
+        while at is not node:
+            is_open[at.tag] -= 1
+            at = at.parent
+        is_open[node.tag] -= 1
+        at = node.parent
+
+    def close_to(names: set[str], limits: frozenset[str]) -> None:
+        if not any(is_open[name] for name in names):
+            return
         node = at
         while node is not root and node.tag not in limits:
             if node.tag in names:
-                at = node.parent
+                leave(node)
                 return
             node = node.parent
 
-    for match in TOKEN.finditer(html):
-        if match.start() > end:
-            at.items.append(html[end : match.start()])
-        end = match.end()
-        tag = (match["tag"] or "").lower()
-        if not tag or tag in ("html", "body", "/html", "/body"):
+    for tag, attrs in tokens(html):
+        if not tag:
+            at.items.append(attrs)
+            continue
+        if tag in ("html", "body", "/html", "/body"):
             continue
         if tag[0] == "/":
-            node = at
-            while node is not root and node.tag != tag[1:]:
-                node = node.parent
-            if node is not root:
-                at = node.parent
+            if is_open[tag[1:]]:
+                node = at
+                while node.tag != tag[1:]:
+                    node = node.parent
+                leave(node)
             continue
         if tag in BLOCKS:
             close_to({"p"}, LIMITS)
         if tag in ENDS:
             close_to(ENDS[tag], LIMITS - ENDS[tag])
-        above, node = set(), at
-        while node is not None:
-            above.add(node.tag)
-            node = node.parent
-        new = Node(tag, at, _is_apart(tag, match["attrs"], frozenset(above)))
+        new = Node(tag, at, _is_doubtful(tag, attrs, is_open["article"] > 0))
         at.items.append(new)
-        if tag not in VOID and not match["attrs"].endswith("/"):
+        if tag not in VOID and not attrs.endswith("/"):
             at = new
-    if end < len(html):
-        at.items.append(html[end:])
+            is_open[tag] += 1
+    _set_apart(root)
     return root
 
 
+def _set_apart(root: Node) -> None:
+    """Sets doubtful elements apart, but none that holds most of the page: a form
+    around the whole page, or an article with an unlucky name, is the page."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo.extend(i for i in node.items if isinstance(i, Node))
+    held: dict[int, int] = {}
+    for node in reversed(order):
+        held[id(node)] = sum(
+            len(i.strip()) if isinstance(i, str) else held[id(i)] for i in node.items
+        )
+    most = held[id(root)] / 2
+    for node in order:
+        node.apart = node.doubtful and held[id(node)] <= most
+
+
 def _walk(root: Node) -> list[Node]:
     """Nodes that may hold main text, parents first."""
     order, todo = [], [root]
@@ -231,6 +315,8 @@ def main_text(html: str) -> str:
 def extract_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for each row of ``pages``.
 
+    Tags and whole class names on lists set elements apart, unless an element
+    holds most of the characters of its page; what is left is decided by density.
     NULL or empty ``html`` and pages without text give an empty text. Repeated
     rows are extracted each. NULL ``page_id`` and ``url`` are passed on. No rows
     give no rows; further columns are not read. ``n_chars`` counts code points.

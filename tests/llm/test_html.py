@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import re
+import time
 from html import unescape
 
+import pyarrow.parquet as pq
+
 from clicklens.llm.html import extract_text, main_text
 
 SF = "/root/testdata/sf0.01"
@@ -54,3 +57,45 @@ def test_whole_articles_of_the_test_pages(spark):
         blocks = [unescape(re.sub("<[^>]+>", " ", b)) for b in re.split("</?(?:p|h1)>", article)]
         assert row["text"] == "\n".join(" ".join(b.split()) for b in blocks if b.strip())
         assert row["n_chars"] == len(row["text"])
+
+
+LONG = "<p>" + "A sentence of an article that goes on for a while. " * 8 + "</p>"
+
+
+def test_articles_with_unlucky_names():
+    text = LONG[3:-4].strip()
+    side = '<div class="sidebar"><p>See also this and that.</p></div>'
+    for page in (
+        f'<div class="content no-sidebar">{LONG}</div>{side}',
+        f'<article class="post has-comments">{LONG}</article>{side}',
+        f'<article><p id="related-work">{text}</p></article>{side}',
+        f"<form>{LONG}</form>{side}",
+        f'<div class="widget">{LONG}</div>{side}',
+        f'<svg width="1"/><article>{LONG}</article>{side}',
+        f"<svg><article>{LONG}</article>{side}",
+        f"<article><svg-icon name=x></svg-icon>{LONG}</article>{side}",
+    ):
+        assert main_text(page) == text, page[:40]
+    assert main_text(f"<article>{LONG}<p>so <math><mi>x</mi></math> is</p></article>").endswith("so x is")
+
+
+def test_time_grows_with_the_page():
+    def seconds(part, n):
+        start = time.perf_counter()
+        main_text("<p>" + part * n + "text")
+        return time.perf_counter() - start
+
+    for part in ("<b>", '<a href="x', "<a href='", "<!--x", "<svg>", "</i>", "<li><b>", "<", "<textarea"):
+        assert seconds(part, 40_000) < 12 * max(seconds(part, 5_000), 0.02), part
+
+
+def test_density_alone_finds_the_articles():
+    """Without the tags and names that say what is what."""
+    pages = pq.read_table(f"{SF}/pages.parquet").to_pylist()
+    marks = re.compile(r"<(/?)(?:article|nav|aside|footer|header|main)[^>]*>")
+    named = re.compile(r' class="[^"]*"')
+    same = sum(
+        main_text(named.sub("", marks.sub(r"<\1div>", page["html"]))) == main_text(page["html"])
+        for page in pages
+    )
+    assert same >= 0.9 * len(pages)
