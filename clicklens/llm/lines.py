@@ -10,26 +10,45 @@ from clicklens.llm.store import stage
 # One word of five is the edit bound: lines with fewer words must be equal.
 MIN_WORDS = 5
 SAME, SHORTER, WHOLE = 0, 1, 2
-# A line's place as one number: document, then position in it.
+# A line's place as one number: document, row among those of one id, position.
 PLACE = 10**9
+ROWS = 10**10
 LAST_ID = 2**63 - 1
 
 
+def _place(row: Column) -> Column:
+    """Where a line stands, as one number that no two different lines share.
+
+    Ids may be repeated or NULL, so a row is told apart by id and hash of its
+    text: by 33 bits of it beside an id, by all 64 where the id is NULL.
+    """
+    digits = "decimal(38,0)"
+    pos = F.col("pos").cast("decimal(9,0)")
+    tag = F.pmod(row, F.lit(ROWS)).cast("decimal(10,0)")
+    beside = F.lit(str(ROWS * PLACE)).cast("decimal(20,0)")
+    known = F.col("doc_id").cast("decimal(19,0)") * beside + tag * F.lit(PLACE) + pos
+    unsigned = row.cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")
+    unknown = F.lit(str(LAST_ID + 1)).cast("decimal(19,0)") * beside + unsigned * F.lit(PLACE) + pos
+    return F.when(F.col("doc_id").isNull(), unknown.cast(digits)).otherwise(known.cast(digits))
+
+
 def split_lines(docs: DataFrame) -> DataFrame:
-    """A row per line: ``doc_id, pos, line, place, words``.
+    """A row per line: ``doc_id, row, pos, line, place, words``.
 
-    Words are what single spaces separate.
+    ``row`` is a hash of the whole text; words are what single spaces separate.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     line = F.col("line")
-    at = F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("decimal(20,0)")
     return docs.select(
-        "doc_id", F.posexplode(F.split(text, "\n")).alias("pos", "line")
+        "doc_id",
+        F.xxhash64("text").alias("row"),
+        F.posexplode(F.split(text, "\n")).alias("pos", "line"),
     ).select(
         "doc_id",
+        "row",
         "pos",
         "line",
-        (at * PLACE + F.col("pos")).cast("decimal(38,0)").alias("place"),
+        _place(F.col("row")).alias("place"),
         (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1).alias(
             "words"
         ),
@@ -180,24 +199,25 @@ def _near_earlier(keys: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def mark_lines(docs: DataFrame) -> DataFrame:
-    """Each line of ``docs`` and whether it stays: ``doc_id, pos, kept``.
+    """Each line of ``docs`` and whether it stays: ``doc_id, row, pos, kept``.
 
     A line goes when an equal line comes earlier, or when a line within one word
     edit (a word replaced, put in or left out) does and both have at least
-    ``MIN_WORDS`` words. Earlier is: smaller ``doc_id`` (NULL last), then smaller
-    position. Only a direct link counts, also one to a line that goes itself.
+    ``MIN_WORDS`` words. Earlier is: smaller ``doc_id`` (NULL last), of rows with
+    one id smaller hash of the text, then smaller position. Only a direct link counts, also one to a line that goes itself.
     Blank lines always stay.
 
     Tables of candidates grow with the lines, so no join is left to a broadcast
     that only small data would get: the plan is the same at every size.
 
-    NULL text is one blank line. Repeated rows hold repeated lines at one place;
-    they stay or go together. No rows give no rows; columns besides ``doc_id``
+    NULL text is one blank line. Rows with equal id and text are one row several
+    times: their lines stay or go together. No rows give no rows; columns besides ``doc_id``
     and ``text`` are not read.
     """
     blank = F.trim("line") == ""
     lines = split_lines(docs).select(
         "doc_id",
+        "row",
         "pos",
         "place",
         "words",
@@ -236,32 +256,50 @@ def mark_lines(docs: DataFrame) -> DataFrame:
         "kept",
         F.col("known").isNull() | F.coalesce(F.col("place") == F.col("stays_at"), F.lit(False)),
     )
-    return found.select("doc_id", "pos", "kept")
+    return found.select("doc_id", "row", "pos", "kept")
 
 
 def document_lines(marked: DataFrame) -> DataFrame:
-    """Per document: its lines, how many go, and the positions of those."""
+    """Per row of the documents: ``doc_id``, its lines, how many go, the positions
+    of those, and ``row``, the hash of its text."""
     gone = F.when(~F.col("kept"), F.col("pos"))
-    return marked.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.count(gone).alias("n_removed"),
-        F.array_sort(F.collect_list(gone)).alias("removed"),
+    per_row = marked.groupBy("doc_id", "row").agg(
+        F.count(F.when(F.col("pos") == 0, 1)).alias("copies"),
+        (F.max("pos") + 1).cast("bigint").alias("n_lines"),
+        F.array_sort(F.collect_set(gone)).alias("removed"),
     )
+    return per_row.select(
+        "doc_id",
+        "n_lines",
+        F.size("removed").cast("bigint").alias("n_removed"),
+        "removed",
+        "row",
+        F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"),
+    ).drop("copy")
 
 
 def without_lines(docs: DataFrame, per_document: DataFrame) -> DataFrame:
     """``docs`` with the removed lines taken out of ``text``."""
-    removed = per_document.filter("n_removed > 0").select(
-        F.col("doc_id").alias("removed_of"), F.col("removed").alias("removed_lines")
+    removed = (
+        per_document.filter("n_removed > 0")
+        .select(
+            F.col("doc_id").alias("removed_of"),
+            F.col("row").alias("removed_row"),
+            F.col("removed").alias("removed_lines"),
+        )
+        .distinct()
     )
     kept = F.filter(
         F.split(docs["text"], "\n"),
         lambda line, i: ~F.array_contains(removed["removed_lines"], i),
     )
-    text = F.when(removed["removed_of"].isNull(), docs["text"]).otherwise(
+    text = F.when(removed["removed_lines"].isNull(), docs["text"]).otherwise(
         F.array_join(kept, "\n")
     )
-    joined = docs.join(removed, docs["doc_id"].eqNullSafe(removed["removed_of"]), "left")
+    same = docs["doc_id"].eqNullSafe(removed["removed_of"]) & (
+        F.xxhash64(docs["text"]) == removed["removed_row"]
+    )
+    joined = docs.join(removed, same, "left")
     return joined.select(
         *[text.alias(c) if c == "text" else docs[c] for c in docs.columns]
     )

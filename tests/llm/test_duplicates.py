@@ -166,3 +166,18 @@ def test_lines_with_odd_rows(odd_documents, no_documents):
     sizes = odd_documents.select(F.size(F.split(F.coalesce("text", F.lit("")), "\n")).alias("n"))
     assert marked.count() == sizes.agg(F.sum("n")).first()[0]
     assert mark_lines(no_documents).count() == 0
+
+
+def test_lines_of_rows_that_share_an_id(spark):
+    first, near = "the quick brown fox jumps over", "the quick brown fox jumps under"
+    for ids in ([1, 5, 6], [1, 5, 5], [None, None, None], [1, None, None], [2, 2, 2]):
+        rows = list(zip(ids, [first, near, "something else that is long enough"]))
+        docs = spark.createDataFrame([*rows, rows[1]], "doc_id bigint, text string")
+        found = document_lines(mark_lines(docs))
+        assert found.count() == 4
+        gone = without_lines(docs, found).groupBy("text").count().collect()
+        left = sorted(r["text"] for r in gone)
+        # one of the two stays, by id or else by hash
+        assert len(left) == 3 and left[0] == "" and left[1] == rows[2][1], ids
+        if ids[0] == 1:
+            assert left[2] == first
