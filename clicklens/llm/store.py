@@ -8,9 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, or the warehouse where it is unset."""
+    """The folder of ``spark.checkpoint.dir``.
+
+    Where it is unset, as in tests, a session of one machine takes its warehouse
+    folder; a cluster has none that all executors are known to share.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/staged"
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir names no folder for staged tables")
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/staged"
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -13,29 +13,55 @@ from clicklens.llm.simhash import simhash_groups
 from clicklens.llm.store import stage
 
 
-def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose ``doc_id`` is among ``ids``; a NULL id is an id here."""
-    chosen = ids.select(F.col("doc_id").alias("chosen_id")).distinct()
-    same = docs["doc_id"].eqNullSafe(chosen["chosen_id"])
-    return docs.join(chosen, same, "left_semi")
+# A row's own number; no table is expected to have a column of that name.
+ROW = "clicklens_row"
+# As text, since no BIGINT holds them.
+AFTER_ALL_IDS, ROWS_PER_ID = str(2**63), str(10**19)
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number per row that orders them by ``doc_id``, NULL last.
+
+    Ids may be repeated or NULL, so no stage tells rows apart by them. The table
+    is written, so that a row keeps its number when a task runs again.
+    """
+    of_id = F.coalesce(F.col("doc_id").cast("decimal(19,0)"), F.lit(AFTER_ALL_IDS).cast("decimal(19,0)"))
+    number = of_id * F.lit(ROWS_PER_ID).cast("decimal(20,0)")
+    row = F.monotonically_increasing_id().cast("decimal(19,0)")
+    return stage(docs.withColumn(ROW, (number + row).cast("decimal(38,0)")))
+
+
+def _by_number(numbered: DataFrame) -> DataFrame:
+    """What an operator on ``doc_id`` and ``text`` gets to see."""
+    return numbered.select(F.col(ROW).alias("doc_id"), "text")
+
+
+def _only(numbered: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows whose numbers are in ``kept.doc_id``, without the numbers."""
+    chosen = kept.select(F.col("doc_id").alias(ROW))
+    columns = [c for c in numbered.columns if c != ROW]
+    return numbered.join(chosen, ROW, "left_semi").select(*columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject."""
+    """Rows whose text the classifier does not reject, each judged by its own."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = score_quality(docs, labels)
-    return _with_ids(docs, scored.filter("predicted = 1"))
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("whole"))
+    scored = score_quality(rows, labels, keep=["whole"])
+    return scored.filter("predicted = 1").select("whole.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text, the one with the smallest id."""
-    return _with_ids(docs, exact_dedup(docs).filter("kept"))
+    """One row of each text, one with the smallest id; of rows with that id, any."""
+    numbered = _numbered(docs)
+    return _only(numbered, exact_dedup(_by_number(numbered)).filter("kept"))
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
-    groups = simhash_groups(docs, words=4, bits=4)
-    return _with_ids(docs, groups.filter("doc_id <=> component_id"))
+    """One row of each group of near duplicates, one with the smallest id."""
+    numbered = _numbered(docs)
+    groups = simhash_groups(_by_number(numbered), words=4, bits=4)
+    return _only(numbered, groups.filter("doc_id = component_id"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,6 +67,20 @@ def test_stages_with_odd_rows(spark, odd_documents, no_documents):
             assert found.columns == odd_documents.columns, name
 
 
+def test_rows_that_share_an_id(spark):
+    """One row of each text stays, whatever ids the rows have."""
+    texts = {name: f"{name} " + " ".join(f"{name}{i}" for i in range(30)) for name in "ABC"}
+    rows = [(1, "A"), (1, "A"), (2, "B"), (3, "A"), (2, "A"), (None, "C"), (None, "C"), (None, "B")]
+    docs = spark.createDataFrame(
+        [(i, texts[t], "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    )
+    for step in (corpus_pipeline.exact, corpus_pipeline.simhash):
+        left = sorted((r["text"][0], r["doc_id"]) for r in step(spark, docs, SF).collect())
+        assert left == [("A", 1), ("B", 2), ("C", None)]
+    judged = corpus_pipeline.quality(spark, docs, SF)
+    assert judged.count() in {sum(t in kept for _, t in rows) for kept in ("", "A", "B", "C", "AB", "AC", "BC", "ABC")}
+
+
 def test_queries_against_their_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS FROM '{SF}/documents.parquet'")
