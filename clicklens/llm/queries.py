@@ -128,6 +128,26 @@ ORACLES: dict[str, str] = {
         JOIN (SELECT normal, max(doc_id) AS keep_id, count(*) AS group_size
               FROM normal GROUP BY normal) g ON g.normal = n.normal
     """,
+    "op4_embeddings": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+        ), usable AS (
+            SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS size FROM vectors
+            WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+            WHERE a.size > 0 AND b.size > 0 AND list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.9
+        ), reach(vec_id, node) AS (
+            SELECT vec_id, vec_id FROM embeddings
+            UNION
+            SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.node
+        ), roots AS (
+            SELECT vec_id, min(node) AS component_id FROM reach GROUP BY vec_id
+        )
+        SELECT r.vec_id, (SELECT count(*) FROM links WHERE a = r.vec_id) AS n_links,
+               r.component_id, r.vec_id = r.component_id AS kept
+        FROM roots r
+    """,
     "op11_urls": """
         WITH RECURSIVE told AS (
             SELECT page_id, url, html, CASE WHEN strpos(url, '://') > 0

@@ -83,7 +83,8 @@ def test_rows_that_share_an_id(spark):
 
 def test_queries_against_their_sql(spark):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS FROM '{SF}/documents.parquet'")
+    for table in ("documents", "embeddings", "pages", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS FROM '{SF}/{table}.parquet'")
     for name, sql in __spark_entry__.oracle_sql().items():
         if name.startswith("op"):
             df = __spark_entry__.queries()[name](spark, SF)
