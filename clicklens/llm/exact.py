@@ -1,8 +1,8 @@
-"""Exact duplicates by merging runs of digests in a tree."""
+"""Exact duplicates by merging sorted runs of digests in a tree."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicklens.llm.store import stage
@@ -33,30 +33,51 @@ def text_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-def merge_runs(rows: DataFrame, keep: str, runs: int, fan_in: int) -> DataFrame:
-    """One entry per text: its identity, the id to keep and the rows it has.
+def sorted_runs(rows: DataFrame, keep: str, runs: int) -> DataFrame:
+    """The runs that the tree starts from: ``run``, identity, ``keep_id`` and
+    ``group_size``, an entry per run and text.
 
-    Rows are dealt into ``runs`` runs by their id. In each round ``fan_in``
-    neighbouring runs become one: entries of equal texts meet in the task of
-    their new run and digest, keep the extreme id and add up. A text that a
-    third of all rows share enters a round with at most one entry per run, since
-    each run is combined before it is shuffled.
+    Rows are dealt by their id, and combined before they are shuffled, so that a
+    text which a third of all rows share sends one entry per task and run.
     """
     pick = {"smallest": F.min, "largest": F.max}[keep]
-    level = (
+    return (
         rows.withColumn("run", F.pmod(F.xxhash64("doc_id"), F.lit(runs)).cast("int"))
         .groupBy("run", *IDENTITY)
         .agg(pick("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     )
-    while runs > 1:
-        runs = -(-runs // fan_in)
+
+
+def merge_runs(rows: DataFrame, keep: str, runs: int, fan_in: int) -> DataFrame:
+    """One entry per text: its identity, the id to keep and the rows it has.
+
+    In each round runs that are a power of ``fan_in`` apart go to the first of
+    ``fan_in`` of them, whose number they take, and are merged there in the order
+    of digest, length, check hash and id. Entries of one text follow each other
+    then, at most ``fan_in`` of them; the first one stays and adds up their rows.
+    Entries with one digest that differ in length or check hash both stay. A run
+    is cut by digest into as many parts as there are shuffle partitions, so the
+    last run is never in one task.
+    """
+    level = sorted_runs(rows, keep, runs)
+    first = {"smallest": F.asc_nulls_last, "largest": F.desc_nulls_last}[keep]("keep_id")
+    entries = Window.partitionBy("run", *IDENTITY)
+    apart = 1
+    while apart < runs:
+        apart *= fan_in
         level = (
-            level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-            .groupBy("run", *IDENTITY)
-            .agg(
-                pick("keep_id").alias("keep_id"),
-                F.sum("group_size").alias("group_size"),
+            level.withColumn("run", F.col("run") - F.col("run") % apart)
+            .repartition("run", "digest")
+            .sortWithinPartitions("run", *IDENTITY, first)
+            .select(
+                "run",
+                *IDENTITY,
+                "keep_id",
+                F.row_number().over(entries.orderBy(first)).alias("place"),
+                F.sum("group_size").over(entries).alias("group_size"),
             )
+            .filter("place = 1")
+            .drop("place")
         )
     return level.drop("run")
 

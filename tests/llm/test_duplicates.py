@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from clicklens.llm.exact import exact_dedup
+from clicklens.llm.exact import exact_dedup, merge_runs
 from clicklens.llm.graph import components
 from clicklens.llm.lines import document_lines, mark_lines, without_lines
 from clicklens.llm.simhash import fingerprint, index_masks, midpoint_links, simhash_groups
@@ -49,6 +49,21 @@ def test_exact(documents, keep):
     assert {tuple(r) for r in found} == wanted and len(found) == len(rows)
 
 
+def test_runs_are_sorted_and_merged_in_rounds(spark, capsys):
+    rows = spark.range(60).selectExpr(
+        "id AS doc_id", "unhex(sha2(cast(id % 7 AS string), 256)) AS digest",
+        "cast(id % 7 AS int) AS n_bytes", "id % 14 AS check_hash",  # seven digests, twice as many texts
+    )
+    merged = merge_runs(rows, "smallest", runs=8, fan_in=2)
+    merged.explain()
+    plan = capsys.readouterr().out
+    # a shuffle for the first runs and one a round, each sorted once and not hashed
+    assert (plan.count("Exchange"), plan.count("HashAggregate")) == (4, 2)
+    assert plan.count("Sort [") == 3 and plan.count("+- Sort [run") == 3
+    found = {r["keep_id"]: r["group_size"] for r in merged.collect()}
+    assert found == {i: len(range(i, 60, 14)) for i in range(14)}
+
+
 def test_exact_with_odd_rows(odd_documents, no_documents):
     found = exact_dedup(odd_documents)
     assert found.count() == odd_documents.count()
