@@ -11,9 +11,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clicklens.llm.labelled import Marked, marked_texts
 from clicklens.llm.store import shared_folder, stage
 
 MARK = "[SECRET]"
@@ -38,7 +39,7 @@ KEY_WORDS = frozenset(
 DOUBT_WORDS = frozenset(
     "example sample dummy placeholder fake test changeme your xxxx redacted".split()
 )
-TEST_PATH = re.compile(r"(?:^|[/_.-])(?:tests?|examples?|samples?|docs?|fixtures?)\b")
+TEST_PATH = re.compile(r"(?:^|[/_.-])(?:tests?|examples?|samples?|docs?|fixtures?)(?![A-Za-z])")
 
 ANCHOR = re.compile(r"[0-9=:]|-----BEGIN ")
 KEY_BLOCK = re.compile(
@@ -55,19 +56,26 @@ VOWELS = frozenset("aeiouyAEIOUY")
 
 
 def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
-    """A span without the punctuation that ends a sentence or a cell."""
+    """A span without the punctuation that ends a sentence or a cell; signs that
+    fill a value up to a multiple of four belong to it."""
+    while end > start and text[end - 1] in ".,;:!?#*$%&|~-":
+        end -= 1
+    filled = end
     while end > start and text[end - 1] in ".,;:!?#*$%&|=~-":
         end -= 1
+    if 16 <= filled - start and (filled - start) % 4 == 0 and filled - end <= 2:
+        end = filled
     while end > start and text[start] in ".,;:|=~":
         start += 1
     return start, end
 
 
-def candidates(text: str) -> Iterator[tuple[int, int, str]]:
+def candidates(text: str, min_length: int = MIN_LENGTH) -> Iterator[tuple[int, int, str]]:
     """Spans that may be a secret, with the name they are assigned to or ''.
 
-    Looked for are values after ``=`` or ``:``, and words with a digit; private
-    key blocks come as a whole under the name ``BEGIN``.
+    Looked for are values after ``=`` or ``:``, and words of ``min_length``
+    characters or more with a digit; private key blocks come as a whole under the
+    name ``BEGIN``.
     """
     done = 0
     for anchor in ANCHOR.finditer(text):
@@ -100,7 +108,7 @@ def candidates(text: str) -> Iterator[tuple[int, int, str]]:
                     continue
         start, end = _trimmed(text, start, end)
         done = max(done, end)
-        if end - start >= MIN_LENGTH:
+        if end - start >= (1 if name else min_length):
             yield start, end, name
 
 
@@ -144,61 +152,64 @@ def describe(
     ]
 
 
-def weak_label(vector: list[float]) -> int | None:
-    """What a rule is sure of: 1 a secret, 0 none, None neither.
-
-    Stands in where nobody has labelled findings by hand.
-    """
-    f = dict(zip(FEATURES, vector))
-    if f["doubt_word"] or f["in_dictionary"] > 0.6:
-        return 0
-    if f["issuer"]:
-        return 1
-    if f["assigned"] and f["key_word"]:
-        return 1 if f["distinct"] * np.exp(f["log_length"]) >= 5 else 0
-    if not f["key_word"] and (f["digits"] > 0.9 or f["dots"] or f["log_length"] < log(12)):
-        return 0
-    return None
-
-
-def text_findings(text: str, source: str) -> tuple[list[tuple[int, int, str]], np.ndarray]:
+def text_findings(
+    text: str, source: str, min_length: int = MIN_LENGTH
+) -> tuple[list[tuple[int, int, str]], np.ndarray]:
     """Candidates of one text and their features."""
-    found = list(candidates(text))
+    found = list(candidates(text, min_length))
     if not found:
         return found, np.empty((0, len(FEATURES)))
-    # the dictionary of a text: its own words, which a secret has no part of
-    taken = {text[s:e] for s, e, _ in found}
-    tally = Counter(WORDS.findall(text.lower()))
-    for value in taken:
-        for word in WORDS.findall(value.lower()):
-            tally[word] -= text.lower().count(value.lower())
-    words = {w for w, n in tally.items() if n > 0}
+    # the dictionary of a text: its words outside of all candidates
+    words, last = set(), 0
+    for start, end, _ in found:
+        words.update(WORDS.findall(text[last:start].lower()))
+        last = end
+    words.update(WORDS.findall(text[last:].lower()))
     rows = [describe(text, s, e, name, words, source) for s, e, name in found]
     return found, np.array(rows)
 
 
-def findings(docs: DataFrame) -> DataFrame:
-    """``vector, label`` of every candidate that ``weak_label`` is sure of."""
+def findings(texts: DataFrame) -> DataFrame:
+    """``vector, label`` of every candidate in labelled texts.
+
+    Reads ``text``, ``source`` and ``secret_spans``, the code points of all secrets
+    in the text (``start``, ``end``). A candidate that shares a character with one
+    has label 1, any other 0. NULL texts have no candidates, NULL spans no secrets.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, labels = [], []
-            for text, source in zip(batch.column("text"), batch.column("source")):
-                _, vectors = text_findings(text.as_py() or "", source.as_py() or "")
-                for vector in vectors.tolist():
-                    label = weak_label(vector)
-                    if label is not None:
-                        rows.append(vector)
-                        labels.append(label)
+            for text, source, marked in zip(*(c.to_pylist() for c in batch.columns)):
+                found, vectors = text_findings(text or "", source or "")
+                rows += vectors.tolist()
+                spans = [(s["start"], s["end"]) for s in marked or []]
+                labels += [
+                    int(any(start < e and s < end for s, e in spans)) for start, end, _ in found
+                ]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows, pa.list_(pa.float64())), pa.array(labels, pa.int32())],
                 ["vector", "label"],
             )
 
-    rows = docs.select(F.col("text").cast("string"), F.col("source").cast("string"))
+    rows = texts.select(
+        F.col("text").cast("string"),
+        F.col("source").cast("string"),
+        F.col("secret_spans").cast("array<struct<start:int,end:int>>"),
+    )
     return rows.mapInArrow(run, "vector array<double>, label int")
 
 
+def marked_findings(spark: SparkSession, texts: list[Marked] | None = None) -> DataFrame:
+    """``findings`` of the labelled texts that come with the library."""
+    rows = [
+        (m.text, m.source, [(m.start, m.end)] if m.end > m.start else [])
+        for m in texts or marked_texts()
+    ]
+    schema = "text string, source string, secret_spans array<struct<start:int,end:int>>"
+    return findings(spark.createDataFrame(rows, schema))
+
+
 class Forest:
     """A trained forest as arrays, small enough to go along with a task."""
 
@@ -236,15 +247,16 @@ NODE = np.dtype(
 
 
 def train_forest(
-    labelled: DataFrame, trees: int = 20, depth: int = 6, max_findings: int = 20_000, seed: int = 5
+    labelled: DataFrame, trees: int = 20, depth: int = 10, max_findings: int = 20_000, seed: int = 5
 ) -> Forest:
-    """A random forest on at most ``max_findings`` labelled findings (``vector``,
-    ``label``) of each label, those whose features hash lowest.
+    """A random forest on at most ``max_findings`` different labelled findings
+    (``vector``, ``label``) of each label, those whose features hash lowest.
 
     Without findings of both labels there is no forest and every candidate gets
     the only label there is, or none.
     """
     spark = labelled.sparkSession
+    labelled = labelled.select("vector", "label").distinct()
     order = F.xxhash64("vector")
     sample = stage(
         labelled.filter("label = 0").orderBy(order).limit(max_findings)
@@ -277,9 +289,11 @@ def train_forest(
     return Forest(built, 0.0)
 
 
-def scan_text(text: str, source: str, forest: Forest, cutoff: float) -> tuple[int, list[tuple[int, int]], str]:
+def scan_text(
+    text: str, source: str, forest: Forest, cutoff: float, min_length: int = MIN_LENGTH
+) -> tuple[int, list[tuple[int, int]], str]:
     """Candidates, spans of secrets, and the text with these marked."""
-    found, vectors = text_findings(text, source)
+    found, vectors = text_findings(text, source, min_length)
     if not found:
         return 0, [], text
     chances = forest.chance(vectors)
@@ -295,13 +309,20 @@ def scan_text(text: str, source: str, forest: Forest, cutoff: float) -> tuple[in
     return len(found), spans, "".join([*pieces, text[last:]])
 
 
-def scan_secrets(docs: DataFrame, forest: Forest | None = None, cutoff: float = 0.5) -> DataFrame:
+def scan_secrets(
+    docs: DataFrame,
+    forest: Forest | None = None,
+    cutoff: float = 0.5,
+    min_length: int = MIN_LENGTH,
+) -> DataFrame:
     """``docs`` with its secrets marked in ``text``, and ``n_candidates``,
     ``n_secrets`` and ``secret_spans`` (code points of the old text) besides.
 
     Private key blocks always count; other candidates when the forest gives them
-    a chance of ``cutoff``. Without a ``forest`` one is trained on what a rule
-    labels in ``docs``.
+    a chance of ``cutoff``. Values that are assigned to a name are candidates
+    whatever their length, other words from ``min_length`` characters on. Without
+    a ``forest`` one is trained on the labelled texts of ``labelled.marked_texts``;
+    findings labelled elsewhere go through ``findings`` and ``train_forest``.
 
     Reads ``text`` and ``source``; all columns of ``docs`` are passed on, but
     those named like one of the three are replaced. NULL text stays NULL and has
@@ -309,7 +330,7 @@ def scan_secrets(docs: DataFrame, forest: Forest | None = None, cutoff: float =
     No rows give no rows.
     """
     if forest is None:
-        forest = train_forest(stage(findings(docs)))
+        forest = train_forest(marked_findings(docs.sparkSession))
     added = ["n_candidates", "n_secrets", "secret_spans"]
     passed = docs.drop(*added)
     kinds = ["int", "int", "array<struct<start:int,end:int>>"]
@@ -324,7 +345,9 @@ def scan_secrets(docs: DataFrame, forest: Forest | None = None, cutoff: float =
             counts, spans, texts = [], [], []
             for text, source in zip(batch.column("text"), batch.column("source")):
                 old = text.as_py()
-                n, found, new = scan_text(old or "", str(source.as_py() or ""), forest, cutoff)
+                n, found, new = scan_text(
+                    old or "", str(source.as_py() or ""), forest, cutoff, min_length
+                )
                 counts.append(n)
                 spans.append([{"start": s, "end": e} for s, e in found])
                 texts.append(None if old is None else new)

@@ -8,7 +8,18 @@ import numpy as np
 import pytest
 
 from clicklens.llm.quality import fit_ranking, score_quality
-from clicklens.llm.secrets import MARK, Forest, candidates, scan_secrets
+from clicklens.llm.labelled import SECRETS, marked_texts
+from clicklens.llm.secrets import (
+    MARK,
+    Forest,
+    candidates,
+    findings,
+    marked_findings,
+    scan_secrets,
+    scan_text,
+    text_findings,
+    train_forest,
+)
 
 SF = "/root/testdata/sf0.01"
 
@@ -97,6 +108,53 @@ def test_secrets_are_found_and_clean_texts_left_alone(spark):
             assert text[span["start"] : span["end"]] == secret
 
 
+def test_secrets_of_held_out_texts(spark):
+    texts = marked_texts()
+    random.Random(3).shuffle(texts)
+    held, rest = texts[: len(texts) // 4], texts[len(texts) // 4 :]
+    forest = train_forest(marked_findings(spark, rest))
+    caught = missed = false = 0
+    for m in held:
+        _, spans, _ = scan_text(m.text, m.source, forest, 0.5)
+        right = [start < m.end and m.start < end for start, end in spans]
+        caught += any(right)
+        missed += bool(m.secret) and not any(right)
+        false += len(spans) - sum(right)
+    assert caught > 80 and caught / (caught + missed) >= 0.95 and caught / (caught + false) >= 0.95
+
+
+def test_labelled_texts():
+    texts = marked_texts(each=4)
+    secrets = [m for m in texts if m.secret]
+    assert len(secrets) == 4 * len(SECRETS) < len(texts) / 2
+    # every secret is a candidate, so that the forest decides on it
+    found = [any(s <= m.start and e >= m.end for s, e, _ in candidates(m.text)) for m in secrets]
+    assert sum(found) >= 0.95 * len(found)
+    assert texts == marked_texts(each=4)
+
+
+def test_findings_are_labelled_by_their_spans(spark):
+    row = ("id 12345678 token=abcdef1234567 x", None, [(18, 31)])
+    schema = "text string, source string, secret_spans array<struct<start:int,end:int>>"
+    rows = spark.createDataFrame([row] * 50 + [(None, None, None), ("a 1234567", "s", None)], schema)
+    found = findings(rows)
+    assert [r["label"] for r in found.collect()] == [0, 1] * 50 + [0]
+    # a finding repeated fifty times is one of the two learned from
+    forest = train_forest(found, max_findings=1)
+    assert forest.trees
+
+
+def test_a_long_text_is_scanned_in_step_with_its_length():
+    text = " ".join(f"token{i}=k{i:09d}x and some words of prose" for i in range(20_000))
+    found, vectors = text_findings(text, "")
+    assert len(found) == len(vectors) == 20_000
+
+
+def test_the_least_length_is_a_parameter():
+    assert [n for *_, n in candidates("pw=a1 b2c3", 6)] == ["pw"]
+    assert len(list(candidates("pw=a1 b2c3", 4))) == 2
+
+
 def test_key_blocks():
     text = "a -----BEGIN RSA PRIVATE KEY-----\nMIIB\n-----END RSA PRIVATE KEY----- b"
     (start, end, name), *rest = candidates(text)
