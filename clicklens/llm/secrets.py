@@ -284,7 +284,7 @@ def train_forest(
             0.0 if leaf else split["leftCategoriesOrThreshold"][0],
             node["leftChild"],
             node["rightChild"],
-            stats[1] / sum(stats),
+            stats[1] / sum(stats) if sum(stats) else counts[1.0] / sum(counts.values()),
         )
     return Forest(built, 0.0)
 
