@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -10,17 +9,15 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-# No piece has a space mark behind another character, nor a line break in it, so
-# the lattice of a text is the chain of the lattices of these units.
-UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 BATCH_CHARS = 1_000_000
-MOST_NODES = 1_200_000
+MOST_NODES = 2_000_000
 
 
 class Vocabulary:
@@ -35,6 +32,9 @@ class Vocabulary:
         self.codes = np.zeros(0x110000, np.int32)  # 0: in no piece
         log_p: dict[int, float] = {}
         codes: dict[int, int] = {}
+        # whether texts may be cut before a space mark that follows another
+        # character, and on both sides of a line break
+        self.in_units = True
         edges: dict[tuple[int, int], int] = {}
         ends = [-1]
         for i, name in enumerate(names):
@@ -49,6 +49,7 @@ class Vocabulary:
                 continue
             # scores of such models are ranks, and word frequencies go with 1/rank
             log_p[i] = -alpha * np.log1p(max(0.0, -model.get_score(i)))
+            self.in_units &= SPACE not in name.lstrip(SPACE) and "\n" not in name
             state = 0
             for c in map(ord, name):
                 code = codes.setdefault(c, len(codes) + 1)
@@ -63,6 +64,12 @@ class Vocabulary:
         self.keys = keys[order]
         self.next = np.fromiter(edges.values(), np.int64, len(edges))[order]
         self.ends = np.array(ends)
+        self.bytes_of = pa.array(self.output, pa.large_binary())
+        self.n_bytes = np.array([len(o) for o in self.output])
+        # the first character of a piece, which most steps look up
+        self.first = np.full(self.width, -1)
+        top = self.keys < self.width
+        self.first[self.keys[top]] = self.next[top]
         self.log_p = np.full(n, -np.inf)
         self.log_p[list(log_p)] = list(log_p.values())
         self.byte_log_p = -alpha * np.log1p(n)
@@ -96,91 +103,113 @@ class Lattices:
 
     def clear(self) -> None:
         self.start: dict[str, int] = {}
+        self.nodes = self.edges = 0  # used of the arrays, which have room for more
         self.first = np.zeros(1, np.int32)  # first edge of each node, and the end
         self.target = np.empty(0, np.int32)
         self.piece = np.empty(0, np.int32)
         self.p = np.empty(0)
         self.so_far = np.empty(0)  # p of the edge and those of its node before it
-        self.log_p = np.empty(0)
-        self.log_rest = np.empty(0)  # of the other edges of its node
 
-    def add(self, units: list[str]) -> None:
-        """Builds the lattices of new units, all at once."""
+    def _put(self, name: str, at: int, values: np.ndarray) -> None:
+        held, end = getattr(self, name), at + len(values)
+        if end > len(held):
+            wider = np.empty(max(end, 2 * len(held)), held.dtype)
+            wider[:at] = held[:at]
+            setattr(self, name, wider)
+            held = wider
+        held[at:end] = values
+
+    def add(self, units: list[str]) -> list[int]:
+        """Builds the lattices of new units, all at once; the first node of each."""
         v = self.vocabulary
-        base = len(self.first) - 1
+        base = self.nodes
         lengths = np.fromiter(map(len, units), np.int64, len(units))
         ends = np.cumsum(lengths)
-        self.start.update(zip(units, (base + ends - lengths).tolist()))
+        starts = (base + ends - lengths).tolist()
+        self.start.update(zip(units, starts))
         points = np.frombuffer("".join(units).encode("utf-32-le", "replace"), "<u4")
         points = points.astype(np.int64)
+        n = len(points)
         codes = v.codes[points]
-        left = np.repeat(ends, lengths) - np.arange(len(points))
+        left = np.repeat(ends, lengths) - np.arange(n)
 
-        at, state, length = np.arange(len(points)), np.zeros(len(points), np.int64), 0
-        sources, spans, pieces = [], [], []
+        state = v.first[codes]
+        at, length = np.flatnonzero(state >= 0), 1
+        state = state[at]
+        found = []  # (where a piece starts, its length, the piece), shortest first
+        counts = np.zeros(n, np.int64)
         while len(at):
-            key = state * v.width + codes[at + length]
-            found = np.minimum(np.searchsorted(v.keys, key), len(v.keys) - 1)
-            hit = v.keys[found] == key
-            at, state, length = at[hit], v.next[found[hit]], length + 1
             piece = v.ends[state]
             whole = piece >= 0
-            sources.append(at[whole])
-            spans.append(np.full(int(whole.sum()), length))
-            pieces.append(piece[whole])
+            found.append((at[whole], length, piece[whole]))
+            counts[at[whole]] += 1
+            if length == 1:
+                unknown = np.flatnonzero(counts == 0)
             more = left[at] > length
             at, state = at[more], state[more]
-        alone = np.ones(len(points), bool)
-        alone[sources[0]] = False
-        unknown = np.flatnonzero(alone)
-        sources.append(unknown)
-        spans.append(np.ones(len(unknown), np.int64))
+            key = state * v.width + codes[at + length]
+            place = np.minimum(np.searchsorted(v.keys, key), len(v.keys) - 1)
+            hit = v.keys[place] == key
+            at, state, length = at[hit], v.next[place[hit]], length + 1
+        if not found:
+            unknown = np.arange(n)
+        counts[unknown] += 1
+
+        # edges in the order of what is left from their nodes on, then by length
+        by_left = np.argsort(left * n + np.arange(n))
+        begin = np.empty(n, np.int64)
+        begin[by_left] = np.cumsum(counts[by_left]) - counts[by_left]
+        size = int(counts.sum())
+        source, span = np.repeat(by_left, counts[by_left]), np.ones(size, np.int64)
+        pieces, score = np.empty(size, np.int64), np.empty(size)
+        free = begin.copy()
         plain = points[unknown] < 0x80
         one_byte = v.byte_ids[np.where(plain, points[unknown], 0)]
-        pieces.append(np.where(plain, one_byte, -points[unknown] - 1))
-        source, span, piece = map(np.concatenate, (sources, spans, pieces))
+        pieces[free[unknown]] = np.where(plain, one_byte, -points[unknown] - 1)
         bytes_of = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
-        score = np.where(piece >= 0, v.log_p[np.maximum(piece, 0)], 0.0)
-        fallback = np.arange(len(piece)) >= len(piece) - len(unknown)
-        score[fallback] = v.byte_log_p * bytes_of[unknown]
+        score[free[unknown]] = v.byte_log_p * bytes_of[unknown]
+        free[unknown] += 1
+        for at, length, piece in found:
+            to = free[at]
+            span[to], pieces[to], score[to] = length, piece, v.log_p[piece]
+            free[at] += 1
 
         # total weight from each node to the end of its unit, shortest way first
-        total = np.zeros(len(points) + 1)
-        order = np.lexsort((span, source, left[source]))
-        source, span, piece, score = (x[order] for x in (source, span, piece, score))
+        total = np.zeros(n + 1)
         last = span == left[source]
         goal = source + span
-        bounds = np.flatnonzero(np.diff(left[source], prepend=0, append=-1))
-        for low, high in zip(bounds[:-1], bounds[1:]):
+        nodes_to = np.flatnonzero(np.diff(left[by_left], prepend=0, append=-1))
+        edges_to = np.append(begin[by_left], size)[nodes_to]
+        for one, other, low, high in zip(
+            nodes_to[:-1], nodes_to[1:], edges_to[:-1], edges_to[1:]
+        ):
+            own = by_left[one:other]
             onward = np.where(last[low:high], 0.0, total[goal[low:high]])
-            starts = np.flatnonzero(np.diff(source[low:high], prepend=-1))
-            total[source[low:high][starts]] = np.logaddexp.reduceat(
-                score[low:high] + onward, starts
-            )
+            total[own] = np.logaddexp.reduceat(score[low:high] + onward, begin[own] - low)
         p = np.exp(score + np.where(last, 0.0, total[goal]) - total[source])
 
         # the likeliest edge of a node first: most draws end there
-        order = np.lexsort((-p, source))
-        source, goal, piece, p, last = (x[order] for x in (source, goal, piece, p, last))
-        starts = np.flatnonzero(np.diff(source, prepend=-1))
-        # summed edge by edge, so that it does not depend on the other nodes
-        so_far, sizes = p.copy(), np.diff(np.append(starts, len(p)))
-        for number in range(1, int(sizes.max())):
-            at = starts[sizes > number] + number
-            so_far[at] += so_far[at - 1]
-        so_far[np.append(starts[1:], len(p)) - 1] = 1.0
-        edges = len(self.p)
-        with np.errstate(divide="ignore"):
-            log_p, log_rest = np.log(p), np.log1p(-np.minimum(p, 1.0))
-        first = np.append(starts, len(p)) + edges
-        self.first = np.append(self.first[:-1], first.astype(np.int32))
-        target = np.where(last, -1, goal + base).astype(np.int32)
-        self.target = np.append(self.target, target)
-        self.piece = np.append(self.piece, piece.astype(np.int32))
-        self.p = np.append(self.p, p)
-        self.so_far = np.append(self.so_far, so_far)
-        self.log_p = np.append(self.log_p, log_p)
-        self.log_rest = np.append(self.log_rest, log_rest)
+        order, so_far = np.empty(size, np.int64), np.empty(size)
+        first = np.cumsum(counts) - counts
+        for many in np.flatnonzero(np.bincount(counts)):
+            own, steps = np.flatnonzero(counts == many), np.arange(many)
+            held = begin[own][:, None] + steps
+            if many > 1:
+                likeliest = np.argsort(-p[held], axis=1, kind="stable")
+                held = np.take_along_axis(held, likeliest, 1)
+            to = first[own][:, None] + steps
+            order[to] = held
+            # summed edge by edge, so that it does not depend on the other nodes
+            so_far[to] = np.cumsum(p[held], axis=1)
+        so_far[first + counts - 1] = 1.0
+        self._put("first", base, np.append(first, size) + self.edges)
+        self._put("target", self.edges, np.where(last, -1, goal + base)[order])
+        self._put("piece", self.edges, pieces[order])
+        self._put("p", self.edges, p[order])
+        self._put("so_far", self.edges, so_far)
+        self.nodes += n
+        self.edges += size
+        return starts
 
     def drawn(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge of each node, by numbers ``u`` from 0 to 1."""
@@ -191,13 +220,47 @@ class Lattices:
             left = left[u[left] >= self.so_far[edge[left]]]
         return edge
 
-    def starts(self, units: list[str]) -> np.ndarray:
-        if len(self.first) > MOST_NODES:
+    def starts(self, units: pa.DictionaryArray) -> np.ndarray:
+        """The first node of each unit."""
+        if self.nodes > MOST_NODES:
             self.clear()
-        new = set(units).difference(self.start)
+        different = units.dictionary.to_numpy(zero_copy_only=False).tolist()
+        nodes = list(map(self.start.get, different))
+        new = [i for i, node in enumerate(nodes) if node is None]
         if new:
-            self.add(sorted(new))
-        return np.array(list(map(self.start.__getitem__, units)), np.int64)
+            for i, node in zip(new, self.add([different[i] for i in new])):
+                nodes[i] = node
+        return np.array(nodes, np.int64)[units.indices.to_numpy()]
+
+    def units(self, texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The units of all texts, and how many each text has.
+
+        Where no piece has a space mark behind another character nor a line
+        break in it, the lattice of a text is the chain of the lattices of its
+        words and line breaks; else its only unit is the text.
+        """
+        whole = "".join(texts)
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        points = np.frombuffer(whole.encode("utf-32-le", "replace"), "<u4")
+        begins = np.zeros(len(points) + 1, bool)
+        begins[np.append(0, ends)] = True
+        if self.vocabulary.in_units:
+            mark, line = points == ord(SPACE), points == ord("\n")
+            begins[:-1] |= line
+            begins[1:] |= line
+            begins[1:-1] |= mark[1:] & ~mark[:-1]
+        at = np.flatnonzero(begins)
+        bytes_to = np.zeros(len(points) + 1, np.int64)
+        np.cumsum(
+            1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF), out=bytes_to[1:]
+        )
+        cut = pa.LargeStringArray.from_buffers(
+            len(at) - 1,
+            pa.py_buffer(bytes_to[at]),
+            pa.py_buffer(whole.encode("utf-8", "replace")),
+        )
+        counts = np.diff(np.searchsorted(at, ends), prepend=0)
+        return cut.dictionary_encode(), counts
 
 
 @lru_cache(maxsize=2)
@@ -283,10 +346,8 @@ def sample_batch(
     text with fewer segmentations than ``k`` gives all it has.
     """
     marked = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
-    units = [UNIT.findall(t) for t in marked]
-    counts = np.fromiter(map(len, units), np.int64, len(units))
-    nodes = net.starts([u for own in units for u in own])
-    log_p, log_rest = net.log_p, net.log_rest
+    units, counts = net.units(marked)
+    nodes = net.starts(units)
     unit_end = np.cumsum(counts)
     unit_start = unit_end - counts
     keys = _mixed(keys)
@@ -318,7 +379,9 @@ def sample_batch(
         seeds = _mixed(keys[text_of] ^ (place << np.uint64(8)) ^ np.uint64(round_))
         edge, owner = _draw(net, np.concatenate(heads or empty), seeds)
         text, unit = text_of[owner], own_units[owner]
-        rest = log_rest[edge]
+        p = net.p[edge]
+        with np.errstate(divide="ignore"):
+            rest = np.log1p(-np.minimum(p, 1.0))  # of the other edges of its node
         heads_at = [i for i, token in enumerate(first) if token]
         if heads_at:
             edge = np.append([first[i][0] for i in heads_at], edge)
@@ -332,7 +395,7 @@ def sample_batch(
         level[texts_] = before
         top = np.zeros(len(texts))
         top[texts_] = limit
-        ahead, final = log_p[edge], level.copy()
+        ahead, final = np.log(net.p[edge]), level.copy()
         for t in texts_.tolist():  # a sum must not depend on other texts
             own = slice(offsets[t], offsets[t + 1])
             summed = np.cumsum(ahead[own]) + level[t]
@@ -384,7 +447,7 @@ def sample_batch(
             at = int(low + path.bound[low:high].argmax())
             # of the type of net.first, else numpy converts all of that first
             own_edge = net.first.dtype.type(path.edge[at])
-            node = int(np.searchsorted(net.first, own_edge, "right")) - 1
+            node = int(np.searchsorted(net.first[: net.nodes + 1], own_edge, "right")) - 1
             taken = used.pop((i, at), [int(path.edge[at])])
             others = [e for e in range(net.first[node], net.first[node + 1]) if e not in taken]
             weights = np.cumsum(net.p[others])
@@ -440,7 +503,7 @@ def sample_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = lattices(model, alpha)
         for batch in batches:
-            sizes = np.cumsum([len(t.as_py() or "") for t in batch.column("text")])
+            sizes = np.cumsum(pc.utf8_length(batch.column("text")).fill_null(0).to_numpy())
             cut = 0
             while cut < batch.num_rows:
                 done = sizes[cut - 1] if cut else 0
@@ -469,10 +532,11 @@ def _sampled(
     v = net.vocabulary
     rows = sample_batch(net, texts, keys, k)
     ids = [[v.ids(s.pieces).astype(np.int32) for s in row] for row in rows]
-    same = [
-        all(v.decode(i) == text.replace(SPACE, " ") for i in own)
-        for text, own in zip(texts, ids)
-    ]
+    sizes = [len(i) for own in ids for i in own]
+    token_ends = np.cumsum([0, *sizes])
+    row_ends = np.cumsum([0, *map(len, ids)])
+    flat = np.concatenate([i for own in ids for i in own] or [np.empty(0, np.int32)])
+    same = _decodes_to(v, texts, flat, token_ends, row_ends)
     columns = {
         "doc_id": batch.column("doc_id"),
         "n_pieces": pa.array([[len(i) for i in own] for own in ids], pa.list_(pa.int32())),
@@ -482,10 +546,29 @@ def _sampled(
         "round_trip": pa.array(same, pa.bool_()),
     }
     if with_ids:
-        columns["ids"] = pa.array(ids, pa.list_(pa.list_(pa.int32())))
+        inner = pa.ListArray.from_arrays(pa.array(token_ends, pa.int32()), pa.array(flat, pa.int32()))
+        columns["ids"] = pa.ListArray.from_arrays(pa.array(row_ends, pa.int32()), inner)
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
+def _decodes_to(
+    v: Vocabulary, texts: list[str], flat: np.ndarray, token_ends: np.ndarray, row_ends: np.ndarray
+) -> list[bool]:
+    """Whether all segmentations of each text, one after the other in ``flat``,
+    are the bytes of the text with the space that encoding puts in front."""
+    pieces = v.bytes_of.take(pa.array(flat))
+    data = pieces.buffers()[2].to_pybytes() if len(flat) else b""
+    ends = np.zeros(len(flat) + 1, np.int64)
+    np.cumsum(v.n_bytes[flat], out=ends[1:])
+    ends = ends[token_ends].tolist()
+    same = []
+    for row, text in enumerate(texts):
+        wanted = (" " + text.replace(SPACE, " ")).encode() if text else b""
+        own = range(row_ends[row], row_ends[row + 1])
+        same.append(all(data[ends[i] : ends[i + 1]] == wanted for i in own))
+    return same
+
+
 def decode_pieces(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """``doc_id`` and ``texts``: each entry of ``ids`` as text; NULL stays NULL."""
 

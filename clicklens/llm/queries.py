@@ -45,7 +45,7 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_pieces(_table(spark, sf_dir, "documents"), k=2, with_ids=False)
+    return sample_pieces(_table(spark, sf_dir, "documents"), k=2)
 
 
 def op6_exact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,15 @@ import numpy as np
 import pytest
 import sentencepiece
 
-from clicklens.llm.pieces import MODEL, decode_pieces, lattices, sample_batch, sample_pieces
+from clicklens.llm.pieces import (
+    MODEL,
+    Lattices,
+    Vocabulary,
+    decode_pieces,
+    lattices,
+    sample_batch,
+    sample_pieces,
+)
 
 pytestmark = pytest.mark.skipif(not Path(MODEL).exists(), reason="no vocabulary file")
 
@@ -46,6 +54,21 @@ def test_draws_follow_the_law_without_replacement(net):
     assert abs(np.mean(weights) - 1) < 0.02
 
 
+def test_a_model_with_pieces_over_words_gets_whole_texts():
+    net = Lattices(Vocabulary(MODEL, 1.0))
+    assert net.vocabulary.in_units
+    text = ["▁the▁a\n▁b", "", "▁▁c"]
+    units, counts = net.units(text)
+    assert units.to_pylist() == ["▁the", "▁a", "\n", "▁b", "▁▁c"] and list(counts) == [4, 0, 1]
+    net.vocabulary.in_units = False
+    units, counts = net.units(text)
+    assert units.to_pylist() == [text[0], text[2]] and list(counts) == [1, 0, 1]
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    every = {s for s, _ in all_segmentations(model, net.vocabulary.log_p, "▁the▁a")}
+    (row,) = sample_batch(net, ["the a"], np.array([3], np.uint64), 100)
+    assert {tuple(s.pieces.tolist()) for s in row} == every
+
+
 def test_a_short_text_gives_all_it_has(net):
     model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     every = {s for s, _ in all_segmentations(model, net.vocabulary.log_p, "▁the")}
