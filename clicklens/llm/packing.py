@@ -63,6 +63,26 @@ def pack_part(rows: pd.DataFrame, capacity: int) -> Iterator[tuple]:
             insort(order, (residual - length, number))
 
 
+def numbered_copies(rows: DataFrame, chunk: int = 4096) -> DataFrame:
+    """``rows`` with ``copy``: 0, 1, 2, ... among equal rows.
+
+    Equal rows are counted, combined before the shuffle, and written out again
+    in chunks, which are dealt by a shuffle of their own: no task holds all
+    copies of a row, however many there are.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+    first = F.col("first") * chunk
+    last = F.least(first + chunk, F.col("copies")) - 1
+    chunks = counted.withColumn(
+        "first", F.explode(F.sequence(F.lit(0), F.expr(f"(copies - 1) div {chunk}")))
+    )
+    once = chunks.filter("copies = 1").select(*rows.columns, F.lit(0).cast("bigint").alias("copy"))
+    more = chunks.filter("copies > 1").repartition(*rows.columns, "first")
+    return once.union(
+        more.select(*rows.columns, F.explode(F.sequence(first, last)).alias("copy"))
+    )
+
+
 def pack_documents(
     docs: DataFrame, capacity: int = 8192, part_rows: int = 4096
 ) -> DataFrame:
@@ -77,7 +97,8 @@ def pack_documents(
     Documents are dealt by hash into parts of about ``part_rows``, each packed
     in one task; the parts grow in number with the table. A source that holds a
     third of all rows opens a bin for each of its documents, which the others
-    then fill.
+    then fill. Repeated rows are counted before the shuffle, and their copies
+    are dealt by number, so that they spread over all parts.
 
     NULL and empty texts are pieces of length 0. A NULL source is a source like
     others. Repeated rows are packed each, in different bins. NULL ids pass
@@ -92,7 +113,7 @@ def pack_documents(
         F.xxhash64(F.lower(F.trim(text))).alias("cluster"),
     )
     parts = max(1, -(-docs.count() // part_rows))
-    part = F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(parts)).cast("int")
+    part = F.pmod(F.xxhash64(*rows.columns, "copy"), F.lit(parts)).cast("int")
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "cluster", "source", "size"])
@@ -106,4 +127,5 @@ def pack_documents(
         names = [field.split()[0] for field in OUTPUT.split(",")]
         return found[names]
 
-    return rows.withColumn("part", part).groupBy("part").applyInPandas(run, OUTPUT)
+    dealt = numbered_copies(rows).withColumn("part", part)
+    return dealt.groupBy("part").applyInPandas(run, OUTPUT)

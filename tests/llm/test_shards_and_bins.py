@@ -80,6 +80,63 @@ def test_bins(documents):
     assert len({r["part"] for r in found}) > 1
 
 
+def plain_best_fit(sizes, capacity):
+    """``(row, chunk) -> (bin, bin_start)``: every open bin is looked at for each piece."""
+    placed, residual, inside = {}, [], []
+    pieces = []
+    for row, (size, _, _) in enumerate(sizes):
+        for chunk in range(size // capacity):
+            placed[row, chunk] = (len(residual), 0)
+            residual.append(0)
+            inside.append(set())
+        if size % capacity or not size:
+            pieces.append((size % capacity, row, size // capacity))
+    for length, row, chunk in sorted(pieces, key=lambda p: (-p[0], p[1])):
+        _, source, cluster = sizes[row]
+        own = {("source", source), ("cluster", cluster)}
+        fits = [
+            (residual[b], b) for b in range(len(residual))
+            if residual[b] >= max(length, 1) and not inside[b] & own
+        ]
+        if fits:
+            _, b = min(fits)
+        else:
+            b = len(residual)
+            residual.append(capacity)
+            inside.append(set())
+        placed[row, chunk] = (b, capacity - residual[b])
+        residual[b] -= length
+        inside[b] |= own
+    return placed
+
+
+def test_bins_against_plain_best_fit(documents):
+    text = {r["doc_id"]: (r["source"], r["text"] or "") for r in documents.collect()}
+    parts = defaultdict(list)
+    for r in pack_documents(documents, 1500, 60).collect():
+        parts[r["part"]].append(r)
+    assert len(parts) > 1
+    for rows in parts.values():
+        ids = sorted({r["doc_id"] for r in rows})
+        sizes = [
+            (len(text[i][1].encode()), text[i][0], text[i][1].strip(" ").lower()) for i in ids
+        ]
+        wanted = plain_best_fit(sizes, 1500)
+        found = {(ids.index(r["doc_id"]), r["chunk"]): (r["bin"], r["bin_start"]) for r in rows}
+        assert found == wanted
+
+
+def test_copies_of_a_row_spread_over_the_parts(spark):
+    rows = [(None, "same", "s")] * 9000 + [(i, f"text {i}", f"s{i % 50}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = pack_documents(docs, 64, 1000).collect()
+    assert len(found) == len(rows)
+    of = Counter(r["part"] for r in found if r["doc_id"] is None)
+    assert of.total() == 9000 and len(of) == 12 and max(of.values()) < 900
+    bins = Counter((r["part"], r["bin"]) for r in found if r["doc_id"] is None)
+    assert max(bins.values()) == 1
+
+
 def test_bins_are_tight(spark):
     rows = [(i, chr(97 + i) * n, f"s{i}") for i, n in enumerate([60, 50, 40, 50, 30, 70])]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
