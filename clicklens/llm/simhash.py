@@ -17,6 +17,9 @@ from clicklens.llm.store import stage
 SEED = 42
 BYTES = 8
 CHUNK = 1 << 16
+# At most MAX_HOT posting lists are hot, so a broadcast of them stays small.
+MAX_HOT = 20_000
+HOT_BUCKETS = 1 << 16
 
 
 def fingerprint(text: bytes, words: int = 4) -> int:
@@ -61,23 +64,23 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, fp bigint")
 
 
-def index_masks(bits: int) -> list[int]:
-    """Byte positions to index by, three at a time, as masks.
+def index_masks(bits: int, width: int = 3) -> list[int]:
+    """Byte positions to index by, ``width`` at a time, as masks.
 
     Two fingerprints that differ in at most ``bits`` bits share at least
-    ``8 - bits`` bytes in place. The triples come from a design in which every
-    four positions hold one of them (Turan's, 20 of all 56), so that each pair
-    with four shared bytes meets in a posting list.
+    ``8 - bits`` bytes in place, so that each pair with four shared bytes meets
+    in a posting list: of all 70 sets of four positions, or of 20 of the 56
+    triples, from a design in which every four positions hold one of them
+    (Turan's).
     """
     if BYTES - bits < 4:
         raise ValueError("at most 4 bits: fewer than 4 bytes would be sure to agree")
     group = [0, 0, 0, 1, 1, 1, 2, 2]
+    lone = {(0, 0, 0), (1, 1, 1), (0, 0, 1), (1, 1, 2), (0, 2, 2)}
     masks = []
-    for triple in combinations(range(BYTES), 3):
-        kinds = sorted(group[i] for i in triple)
-        lone = {(0, 0, 0), (1, 1, 1), (0, 0, 1), (1, 1, 2), (0, 2, 2)}
-        if tuple(kinds) in lone:
-            masks.append(sum(0xFF << (8 * i) for i in triple))
+    for chosen in combinations(range(BYTES), width):
+        if width == 4 or tuple(sorted(group[i] for i in chosen)) in lone:
+            masks.append(sum(0xFF << (8 * i) for i in chosen))
     return masks
 
 
@@ -108,63 +111,94 @@ def _forest(prints: np.ndarray, bits: int) -> Iterator[tuple[int, int]]:
             left = np.delete(left, near)
 
 
-def posting_links(distinct: DataFrame, bits: int, dense_limit: int) -> DataFrame:
+def postings_of(distinct: DataFrame, masks: list[int]) -> DataFrame:
+    """``fp, position, value``: the posting lists that each fingerprint is in."""
+    values = [F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks]
+    found = distinct.select(
+        "fp", F.posexplode(F.array(*values)).alias("position", "value")
+    )
+    return found.withColumn("position", F.col("position").cast("bigint"))
+
+
+def hot_lists(postings: DataFrame, limit: int, buckets: int = HOT_BUCKETS) -> DataFrame:
+    """``position, value`` of every posting list longer than ``limit``.
+
+    Lists are counted by bucket first, which shuffles ``buckets`` numbers a task
+    at most; only lists in buckets that exceed the limit are counted themselves.
+    """
+    lists = postings.select(
+        "position",
+        "value",
+        F.pmod(F.xxhash64("position", "value"), F.lit(buckets)).alias("bucket"),
+    )
+    full = lists.groupBy("bucket").count().filter(F.col("count") > limit)
+    return (
+        lists.join(F.broadcast(full.select("bucket")), "bucket", "left_semi")
+        .groupBy("position", "value")
+        .count()
+        .filter(F.col("count") > limit)
+        .select("position", "value")
+    )
+
+
+def posting_links(postings: DataFrame, bits: int, dense_limit: int) -> DataFrame:
     """``a, b, dense``: links from the posting lists of distinct fingerprints.
 
     A list longer than ``dense_limit`` is not compared pair by pair; its members
-    come out with ``dense`` set.
+    come out with ``dense`` set, as they are read.
     """
-    masks = [_signed(m) for m in index_masks(bits)]
-    postings = distinct.select(
-        "fp",
-        F.posexplode(
-            F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])
-        ).alias("position", "value"),
-    )
+
+    def result(a, b, dense) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.bool_()]
+        columns = [pa.array(c, k) for c, k in zip((a, b, dense), kinds)]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b", "dense"])
+
+    def as_dense(members: np.ndarray) -> pa.RecordBatch:
+        return result(members, members, np.ones(len(members), bool))
+
+    def links(table: np.ndarray) -> Iterator[pa.RecordBatch]:
+        position, value, fp = table
+        new = (np.diff(position) != 0) | (np.diff(value) != 0)
+        bounds = np.concatenate([[0], np.flatnonzero(new) + 1, [len(fp)]])
+        pairs = []
+        for i in np.flatnonzero(np.diff(bounds) > 1):
+            members = fp[bounds[i] : bounds[i + 1]]
+            if len(members) > dense_limit:
+                yield as_dense(members)
+            else:
+                pairs.extend(_forest(members.view(np.uint64), bits))
+        a = [_signed(a) for a, _ in pairs]
+        b = [_signed(b) for _, b in pairs]
+        yield result(a, b, np.zeros(len(pairs), bool))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.empty((3, 0), np.int64)  # the list that may go on in the next batch
-
-        def links(table: np.ndarray) -> pa.RecordBatch:
-            position, value, fp = table
-            new = (np.diff(position) != 0) | (np.diff(value) != 0)
-            bounds = np.concatenate([[0], np.flatnonzero(new) + 1, [len(fp)]])
-            sizes = np.diff(bounds)
-            rows = []
-            for i in np.flatnonzero(sizes > 1):
-                members = fp[bounds[i] : bounds[i + 1]]
-                if len(members) > dense_limit:
-                    rows.extend((m, m, True) for m in members.tolist())
-                else:
-                    found = _forest(members.view(np.uint64), bits)
-                    rows.extend((_signed(a), _signed(b), False) for a, b in found)
-            a, b, dense = zip(*rows) if rows else ((), (), ())
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(a, pa.int64()),
-                    pa.array(b, pa.int64()),
-                    pa.array(dense, pa.bool_()),
-                ],
-                ["a", "b", "dense"],
-            )
-
+        long = None  # the list found too long, of which members may still come
         for batch in batches:
-            if not batch.num_rows:
+            table = np.array([np.asarray(batch.column(i), np.int64) for i in range(3)])
+            if long is not None:
+                more = int(np.sum((table[:2] == long).all(axis=0)))
+                if more:
+                    yield as_dense(table[2, :more])
+                table = table[:, more:]
+            if not table.shape[1]:
                 continue
-            table = np.concatenate(
-                [held, [np.asarray(batch.column(i), np.int64) for i in range(3)]],
-                axis=1,
-            )
-            same = (table[0] == table[0, -1]) & (table[1] == table[1, -1])
+            long = None
+            table = np.concatenate([held, table], axis=1)
+            same = (table[:2] == table[:2, -1:]).all(axis=0)
             cut = int(np.argmax(same))  # where the last list starts
             held = table[:, cut:]
             if cut:
-                yield links(table[:, :cut])
+                yield from links(table[:, :cut])
+            if held.shape[1] > dense_limit:
+                long = held[:2, :1]
+                yield as_dense(held[2])
+                held = held[:, :0]
         if held.shape[1]:
-            yield links(held)
+            yield from links(held)
 
     dealt = (
-        postings.select(F.col("position").cast("bigint"), "value", "fp")
+        postings.select("position", "value", "fp")
         .repartition("position", "value")
         .sortWithinPartitions("position", "value", "fp")
     )
@@ -208,7 +242,11 @@ def midpoint_links(members: DataFrame, bits: int) -> DataFrame:
 
 
 def simhash_groups(
-    docs: DataFrame, words: int = 4, bits: int = 4, dense_limit: int = 8192
+    docs: DataFrame,
+    words: int = 4,
+    bits: int = 4,
+    dense_limit: int = 8192,
+    wide_from: int = 1 << 31,
 ) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for each row of ``docs``.
 
@@ -216,6 +254,11 @@ def simhash_groups(
     words; fingerprints that differ in at most ``bits`` bits are linked, and
     ``component_id`` is the smallest ``doc_id`` reachable over links.
 
+    From ``wide_from`` distinct fingerprints on, posting lists are keyed by four
+    bytes instead of three, so that lists stay short; both keys lose no pair.
+    Lists longer than ``dense_limit`` are linked by midpoints; hot ones, which
+    hold a 20,000th of all postings, are taken out before the shuffle.
+
     Rows with one fingerprint are one node from the start. NULL and blank texts
     have the fingerprint zero and are linked like others; shorter texts are one
     shingle. Repeated rows are returned as often as they come. A NULL id stays
@@ -224,9 +267,22 @@ def simhash_groups(
     """
     prints = stage(fingerprints(docs, words))
     distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    links = stage(posting_links(distinct.select("fp"), bits, dense_limit))
+    rows = distinct.count()
+    masks = index_masks(bits, width=4 if rows >= wide_from else 3)
+    postings = postings_of(distinct.select("fp"), masks)
+    hot = F.broadcast(
+        stage(hot_lists(postings, max(dense_limit, rows * len(masks) // MAX_HOT)))
+    )
+    by = ["position", "value"]
+    links = stage(
+        posting_links(postings.join(hot, by, "left_anti"), bits, dense_limit)
+    )
     edges = links.filter("not dense").select("a", "b")
-    dense = links.filter("dense").select(F.col("a").alias("fp"))
+    dense = (
+        links.filter("dense")
+        .select(F.col("a").alias("fp"))
+        .union(postings.join(hot, by, "left_semi").select("fp"))
+    )
     if not dense.isEmpty():
         edges = edges.union(midpoint_links(dense.distinct(), bits))
     roots = components(edges)

@@ -13,7 +13,16 @@ from pyspark.sql import functions as F
 from clicklens.llm.exact import exact_dedup, merge_runs
 from clicklens.llm.graph import components
 from clicklens.llm.lines import document_lines, mark_lines, without_lines
-from clicklens.llm.simhash import fingerprint, index_masks, midpoint_links, simhash_groups
+from clicklens.llm import simhash
+from clicklens.llm.simhash import (
+    fingerprint,
+    hot_lists,
+    index_masks,
+    midpoint_links,
+    posting_links,
+    postings_of,
+    simhash_groups,
+)
 
 MASK = 2**64 - 1
 
@@ -87,24 +96,51 @@ def test_fingerprint_is_the_one_of_spark_hashes(spark, documents):
     assert fingerprint("a b c é".encode()) == ours
 
 
-@pytest.mark.parametrize("dense_limit", [8192, 2])
-def test_simhash_groups(documents, dense_limit):
+@pytest.mark.parametrize("dense_limit, wide_from, max_hot", [(8192, 1 << 31, 20_000), (2, 0, 20_000), (2, 1 << 31, 1)])
+def test_simhash_groups(documents, monkeypatch, dense_limit, wide_from, max_hot):
+    monkeypatch.setattr(simhash, "MAX_HOT", max_hot)
     prints = {r["doc_id"]: fingerprint((r["text"] or "").encode()) for r in documents.collect()}
     links = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4]
     wanted = groups_of(prints, links)
-    found = simhash_groups(documents, dense_limit=dense_limit).collect()
+    found = simhash_groups(documents, dense_limit=dense_limit, wide_from=wide_from).collect()
     assert {r["doc_id"]: r["component_id"] for r in found} == wanted
     assert {r["doc_id"]: r["fingerprint"] for r in found} == {i: f"{p:016x}" for i, p in prints.items()}
 
 
-def test_every_pair_within_four_bits_meets_in_the_index():
-    masks, rng = index_masks(4), random.Random(1)
+@pytest.mark.parametrize("width, lists", [(3, 20), (4, 70)])
+def test_every_pair_within_four_bits_meets_in_the_index(width, lists):
+    masks, rng = index_masks(4, width), random.Random(1)
+    assert len(masks) == lists
     for _ in range(2000):
         a = rng.getrandbits(64)
         b = a ^ sum(1 << i for i in rng.sample(range(64), 4))
         assert any(a & m == b & m for m in masks)
 
 
+def test_lists_longer_than_a_limit_are_counted_before_the_shuffle(spark):
+    rng = random.Random(3)
+    lengths = {(rng.randrange(3), rng.getrandbits(60)): rng.randint(1, 30) for _ in range(200)}
+    rows = [(*key, i) for key, n in lengths.items() for i in range(n)]
+    postings = spark.createDataFrame(rows, "position bigint, value bigint, fp bigint")
+    for buckets in (1, 16, 1 << 16):
+        found = {tuple(r) for r in hot_lists(postings, 20, buckets).collect()}
+        assert found == {key for key, n in lengths.items() if n > 20}
+
+
+@pytest.mark.parametrize("batch_rows", [3, 1000])
+def test_long_lists_come_out_dense_over_any_batches(spark, batch_rows):
+    # 20 members that differ in one byte, far apart; a pair one bit apart elsewhere
+    prints = [i * 0x13 & 0xFF for i in range(20)] + [7 << 40, 7 << 40 | 1 << 33]
+    rows = spark.createDataFrame([(p,) for p in set(prints)], "fp bigint")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
+    try:
+        found = posting_links(postings_of(rows, index_masks(4)), 4, 10).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {r["a"] for r in found if r["dense"]} >= set(prints[:20])
+    assert {frozenset(r[:2]) for r in found if not r["dense"]} >= {frozenset(prints[20:])}
+
+
 def test_midpoints_link_what_lies_within_four_bits(spark):
     rng = random.Random(2)
     base = rng.getrandbits(62)
