@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.llm.ranks import written_out
+
 OUTPUT = (
     "doc_id bigint, chunk int, start bigint, length bigint,"
     " part int, bin bigint, bin_start bigint"
@@ -63,26 +65,6 @@ def pack_part(rows: pd.DataFrame, capacity: int) -> Iterator[tuple]:
             insort(order, (residual - length, number))
 
 
-def numbered_copies(rows: DataFrame, chunk: int = 4096) -> DataFrame:
-    """``rows`` with ``copy``: 0, 1, 2, ... among equal rows.
-
-    Equal rows are counted, combined before the shuffle, and written out again
-    in chunks, which are dealt by a shuffle of their own: no task holds all
-    copies of a row, however many there are.
-    """
-    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
-    first = F.col("first") * chunk
-    last = F.least(first + chunk, F.col("copies")) - 1
-    chunks = counted.withColumn(
-        "first", F.explode(F.sequence(F.lit(0), F.expr(f"(copies - 1) div {chunk}")))
-    )
-    once = chunks.filter("copies = 1").select(*rows.columns, F.lit(0).cast("bigint").alias("copy"))
-    more = chunks.filter("copies > 1").repartition(*rows.columns, "first")
-    return once.union(
-        more.select(*rows.columns, F.explode(F.sequence(first, last)).alias("copy"))
-    )
-
-
 def pack_documents(
     docs: DataFrame, capacity: int = 8192, part_rows: int = 4096
 ) -> DataFrame:
@@ -127,5 +109,6 @@ def pack_documents(
         names = [field.split()[0] for field in OUTPUT.split(",")]
         return found[names]
 
-    dealt = numbered_copies(rows).withColumn("part", part)
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+    dealt = written_out(counted, "copies", "copy").withColumn("part", part)
     return dealt.groupBy("part").applyInPandas(run, OUTPUT)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicklens.llm.ranks import gapless
+from clicklens.llm.ranks import bucket_count, gapless
 from clicklens.llm.store import discard, stage
 
 # A group's rows are moved in pieces, so that a group larger than a shard can
@@ -166,7 +166,13 @@ def shard_documents(docs: DataFrame, shards: int = 40, rounds: int = 6) -> DataF
     placed = rows.join(cells.drop("n"), ["group", "piece"], "left").drop("piece")
     placed = stage(placed.select(*ROW_ORDER, "shard"))
     ranked = stage(
-        gapless(placed.filter("shard is not null"), ["shard"], ROW_ORDER, "slot")
+        gapless(
+            placed.filter("shard is not null"),
+            ["shard"],
+            ROW_ORDER,
+            "slot",
+            bucket_count(total // shards),
+        )
     )
     cap = F.array(*[F.lit(c).cast("bigint") for c in caps])[F.col("shard")]
     settled = ranked.filter(F.col("slot") < cap)
@@ -183,7 +189,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, rounds: int = 6) -> DataF
     }
     # the last shard whose room starts at or before the row's number
     filled = (
-        gapless(rest.drop("shard"), [], ROW_ORDER, "number")
+        gapless(rest.drop("shard"), [], ROW_ORDER, "number", bucket_count(total))
         .withColumn(
             "shard",
             F.size(F.filter(numbers["start"], lambda s: s <= F.col("number"))) - 1,

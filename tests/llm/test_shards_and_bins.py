@@ -3,7 +3,10 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from clicklens.llm.packing import pack_documents
+from clicklens.llm.ranks import gapless
 from clicklens.llm.sharding import shard_documents
 
 
@@ -43,6 +46,22 @@ def test_a_group_larger_than_a_shard_is_spread(spark):
     assert sum(n for _, n in held.most_common(7)) >= 0.9 * held.total()
 
 
+def test_repeated_rows_are_numbered_without_gaps(spark):
+    rows = [(1, None)] * 5000 + [(2, 7)] * 3 + [(1, i % 9) for i in range(40)]
+    frame = spark.createDataFrame(rows, "part int, value int")
+    assert numbers_in(gapless(frame, ["part"], ["value"], "n", 4)) == {1: 5040, 2: 3}
+    whole = gapless(frame.select("value"), [], ["value"], "n", 4)
+    assert numbers_in(whole.withColumn("part", F.lit(0))) == {0: 5043}
+
+
+def numbers_in(found):
+    held = defaultdict(list)
+    for r in found.collect():
+        held[r["part"]].append(r["n"])
+    assert all(sorted(ns) == list(range(len(ns))) for ns in held.values())
+    return {part: len(ns) for part, ns in held.items()}
+
+
 def test_shards_of_odd_rows(odd_documents, no_documents, documents):
     check_shards(odd_documents, 7)
     check_shards(documents.limit(3), 40)
