@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,9 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicklens.llm.graph import components
+from clicklens.llm.ranks import bucket_count, gapless
 from clicklens.llm.store import stage
 
 BLOCK = 2048
+# A pair at the threshold is missed with this probability, at most.
+MISS = 0.0013
 
 
 def usable(vector) -> F.Column:
@@ -24,6 +28,20 @@ def usable(vector) -> F.Column:
     return F.coalesce(whole & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def plan_tables(rows: int, threshold: float, bucket_rows: int) -> tuple[int, int]:
+    """``tables, bits`` for ``rows`` vectors.
+
+    A bucket holds about ``bucket_rows`` vectors however large the table is, so
+    work grows with the table and the number of tables, not with its square;
+    there are as many tables as it takes to miss a pair at the threshold with
+    probability ``MISS``. A signature is an INT, hence 31 bits at most.
+    """
+    bits = max(10, math.ceil(math.log2(max(1.0, rows / bucket_rows))))
+    bits = min(31, bits)
+    same = min(0.99, (1 - math.acos(threshold) / math.pi) ** bits)
+    return math.ceil(math.log(MISS) / math.log1p(-same)), bits
+
+
 def planes(size: int, tables: int, bits: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, size]).standard_normal((size, tables * bits))
 
@@ -40,7 +58,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def signatures(classes: DataFrame, tables: int, bits: int, seed: int) -> DataFrame:
-    """``class_id, size, vector, sig``: the bucket of a vector in each table."""
+    """``sig`` beside ``class_id, copies, size, vector``: buckets by table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 1 << np.arange(bits)
@@ -56,17 +74,18 @@ def signatures(classes: DataFrame, tables: int, bits: int, seed: int) -> DataFra
                 yield pa.RecordBatch.from_arrays(
                     [
                         own.column("class_id"),
+                        own.column("copies"),
                         own.column("size"),
                         own.column("vector"),
                         pa.ListArray.from_arrays(
                             offsets, pa.array(sig.ravel().astype(np.int32))
                         ),
                     ],
-                    ["class_id", "size", "vector", "sig"],
+                    ["class_id", "copies", "size", "vector", "sig"],
                 )
 
     kind = dict(classes.dtypes)["vector"]
-    schema = f"class_id bigint, size int, vector {kind}, sig array<int>"
+    schema = f"class_id bigint, copies bigint, size int, vector {kind}, sig array<int>"
     return classes.mapInArrow(run, schema)
 
 
@@ -129,9 +148,7 @@ def _compare(threshold: float):
     return run
 
 
-def bucket_links(
-    signed: DataFrame, threshold: float, tables: int, block_rows: int
-) -> DataFrame:
+def bucket_links(signed: DataFrame, threshold: float, block_rows: int) -> DataFrame:
     """``a, b, links``: links that connect what a bucket has linked, and per
     vector (``a = b``) how many rows it found.
 
@@ -175,18 +192,19 @@ def bucket_links(
 def embedding_groups(
     vectors: DataFrame,
     threshold: float = 0.9,
-    tables: int = 28,
-    bits: int = 10,
+    bucket_rows: float = 512,
     seed: int = 7,
     block_rows: int = 4096,
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for each row of ``vectors``
     (``vec_id``, ``embedding``; labels and other columns are not read).
 
-    Two vectors are linked when they share the signs of ``bits`` hyperplanes in
-    one of ``tables`` tables and their cosine in double precision is at least
-    ``threshold``; a pair at cosine 0.9 is found with probability 0.998, a
-    closer one more surely, and none below the threshold is linked.
+    Two vectors are linked when they share the signs of all hyperplanes of one
+    table and their cosine in double precision is at least ``threshold``. Tables
+    and hyperplanes come from the number of vectors (``plan_tables``): 28 tables
+    of 10 up to 500,000 vectors, more on larger tables. A pair at the threshold
+    is found with probability 0.998, a closer one more surely, and none below
+    the threshold is linked.
 
     Equal vectors are one class and linked for sure. Vectors that are NULL,
     empty, zero or hold NULL or non-finite numbers link with nothing, vectors of
@@ -214,15 +232,17 @@ def embedding_groups(
             F.min("vec_id").alias("least_id"),
             F.count(F.lit(1)).alias("copies"),
         )
-        .withColumn("class_id", F.xxhash64("digest"))
     )
-    shape = classes.select(
-        "class_id", F.size("vector").cast("int").alias("size"), "vector"
+    number = classes.count()
+    own = gapless(
+        classes.select("digest"), [], ["digest"], "class_id", bucket_count(number)
     )
-    signed = signatures(shape, tables, bits, seed).join(
-        classes.select("class_id", "copies"), "class_id"
+    classes = stage(classes.join(own, "digest"))
+    shape = classes.select(
+        "class_id", "copies", F.size("vector").cast("int").alias("size"), "vector"
     )
-    found = stage(bucket_links(stage(signed), threshold, tables, block_rows))
+    signed = signatures(shape, *plan_tables(number, threshold, bucket_rows), seed)
+    found = stage(bucket_links(stage(signed), threshold, block_rows))
     counts = found.filter("a = b").groupBy("a").agg(F.sum("links").alias("others"))
     roots = components(found.filter("a <> b").select("a", "b"))
     linked = stage(

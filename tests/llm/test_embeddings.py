@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from clicklens.llm.embeddings import embedding_groups
+from clicklens.llm.embeddings import embedding_groups, plan_tables
 from tests.llm.test_duplicates import groups_of
 
 
@@ -35,6 +35,30 @@ def test_links_against_all_pairs(spark, block_rows):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found)
 
 
+@pytest.mark.parametrize("bucket_rows, bits", [(512, 10), (0.25, 13)])
+def test_recall_just_above_the_threshold(spark, bucket_rows, bits):
+    rng = np.random.default_rng(9)
+    first, other = rng.normal(size=(2, 1000, 64))
+    first /= np.linalg.norm(first, axis=1, keepdims=True)
+    other -= (other * first).sum(axis=1, keepdims=True) * first
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    cosine = rng.uniform(0.901, 0.92, size=(1000, 1))
+    second = cosine * first + np.sqrt(1 - cosine**2) * other
+    rows = list(enumerate(np.concatenate([first, second]).tolist()))
+    assert plan_tables(len(rows), 0.9, bucket_rows)[1] == bits
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = embedding_groups(frame, bucket_rows=bucket_rows).filter("not kept").collect()
+    assert all(r["vec_id"] - 1000 == r["component_id"] for r in found)
+    assert len(found) >= 990
+
+
+def test_buckets_stay_small_as_the_table_grows():
+    assert plan_tables(0, 0.9, 512) == plan_tables(500_000, 0.9, 512) == (28, 10)
+    tables, bits = plan_tables(10**9, 0.9, 512)
+    same = (1 - np.arccos(0.9) / np.pi) ** bits
+    assert 10**9 / 2**bits <= 512 and (1 - same) ** tables <= 0.0013
+
+
 def test_vectors_without_direction_link_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
