@@ -9,8 +9,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicklens.llm.ranks import written_out
-
 OUTPUT = (
     "doc_id bigint, chunk int, start bigint, length bigint,"
     " part int, bin bigint, bin_start bigint"
@@ -80,7 +78,7 @@ def pack_documents(
     in one task; the parts grow in number with the table. A source that holds a
     third of all rows opens a bin for each of its documents, which the others
     then fill. Repeated rows are counted before the shuffle, and their copies
-    are dealt by number, so that they spread over all parts.
+    are dealt evenly over all parts.
 
     NULL and empty texts are pieces of length 0. A NULL source is a source like
     others. Repeated rows are packed each, in different bins. NULL ids pass
@@ -95,10 +93,20 @@ def pack_documents(
         F.xxhash64(F.lower(F.trim(text))).alias("cluster"),
     )
     parts = max(1, -(-docs.count() // part_rows))
-    part = F.pmod(F.xxhash64(*rows.columns, "copy"), F.lit(parts)).cast("int")
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("all"))
+    # a row goes to as many parts as it has copies, or to every part several times
+    turn = F.explode(F.sequence(F.lit(0), F.least("all", F.lit(parts)) - 1))
+    first = F.pmod(F.xxhash64(*rows.columns), F.lit(parts))
+    one_more = F.col("turn") < F.col("all") % parts
+    dealt = counted.withColumn("turn", turn).select(
+        *rows.columns,
+        (F.expr(f"`all` div {parts}") + one_more.cast("bigint")).alias("copies"),
+        ((first + F.col("turn")) % parts).cast("int").alias("part"),
+    )
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "cluster", "source", "size"])
+        group = group.loc[group.index.repeat(group["copies"])]
         found = pd.DataFrame(
             pack_part(group, capacity),
             columns=["row", "chunk", "start", "length", "bin", "bin_start"],
@@ -109,6 +117,4 @@ def pack_documents(
         names = [field.split()[0] for field in OUTPUT.split(",")]
         return found[names]
 
-    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
-    dealt = written_out(counted, "copies", "copy").withColumn("part", part)
     return dealt.groupBy("part").applyInPandas(run, OUTPUT)
