@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from clicklens.llm.quality import fit_ranking, score_quality
+from clicklens.llm.quality import fit_labelled, fit_ranking, score_quality
 from clicklens.llm.labelled import SECRETS, marked_texts
 from clicklens.llm.secrets import (
     MARK,
@@ -171,3 +171,61 @@ def test_secrets_of_odd_rows(odd_documents, no_documents):
     old = sorted(r["text"] or "" for r in odd_documents.collect())
     assert sorted(r["text"] or "" for r in found.collect()) == old
     assert scan_secrets(no_documents).count() == 0
+
+
+def test_quality_learns_from_every_label(spark):
+    """Good documents only among the last 400 of 20,400 by the hash of their ids."""
+    ids = spark.range(28_000).selectExpr("id doc_id", "xxhash64(id) h").filter(
+        "crc32(cast(id as string)) % 4 != 2"
+    )
+    last = {r["doc_id"] for r in ids.orderBy("h").limit(20_400).collect()[20_000:]}
+    known = [r["doc_id"] for r in ids.orderBy("h").limit(20_400).collect()]
+    rows = [
+        (i, "some plain words of a text" if i in last else "#### 12 $$ || 345", int(i in last))
+        for i in known
+    ]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, quality int")
+    found = score_quality(table.drop("quality"), table.drop("text")).collect()
+    assert len(found) == len(rows)
+    assert {r["doc_id"] for r in found if r["predicted"]} == last
+
+
+def labelled_vectors(n, rare=2):
+    rng = np.random.default_rng(2)
+    vectors = np.round(rng.normal(size=(n, 22)), 2)
+    vectors[1 :: 5] = vectors[0]  # many copies of one
+    noise = rng.normal(size=n)
+    return [
+        (int(v[3] + 0.5 * e > 0 if i % rare else v[3] > 9), v.astype(np.float32).tolist())
+        for i, (v, e) in enumerate(zip(vectors, noise))
+    ]
+
+
+def test_ranking_over_tables_is_that_of_all_pairs(spark):
+    rows = labelled_vectors(600)
+    table = spark.createDataFrame(rows, "quality int, features array<float>")
+    good, bad = (np.array([v for y, v in rows if y == label]) for label in (1, 0))
+    pairs = (good[:, None, :] - bad[None, :, :]).reshape(-1, 22)
+    spread = np.array([v for _, v in rows]).std(axis=0) + 1e-3
+    found = fit_labelled(table)
+    weights = np.array(found.weights)
+    # where the plain loss of all pairs is flat
+    missed = 1 / (1 + np.exp(pairs @ weights))
+    assert np.abs((pairs / spread * missed[:, None]).mean(axis=0) - 1e-4 * weights * spread).max() < 1e-5
+    alone = fit_ranking(rows, len(pairs), 1)
+    assert found.weights == pytest.approx(alone.weights, abs=2e-6)
+    assert found.threshold == pytest.approx(alone.threshold, abs=1e-4)
+    assert found.scale == pytest.approx(alone.scale, rel=1e-4)
+
+
+def test_ranking_by_blocks_and_with_a_rare_label(spark):
+    for rare in (2, 1):
+        rows = labelled_vectors(4000) if rare == 2 else [
+            (y if i < 60 else 0, v) for i, (y, v) in enumerate(labelled_vectors(4000))
+        ]
+        table = spark.createDataFrame(rows, "quality int, features array<float>")
+        whole = fit_labelled(table)
+        blocks = fit_labelled(table.repartition(3), block_rows=256)
+        assert blocks == fit_labelled(table.repartition(7), block_rows=256)
+        a, b = (np.array([np.dot(v, r.weights) for _, v in rows]) for r in (whole, blocks))
+        assert np.corrcoef(a, b)[0, 1] > 0.98
