@@ -11,6 +11,10 @@ from clicklens.operators.factors import FACTOR
 from clicklens.operators.skew import HotKeys, hot_keys, split_hot
 from clicklens.schema import EXPLORE_FACTORS, Factor
 
+# Rows of the log that a task counts. It holds two dozen values for each of them,
+# twice at that, before and after they are added up: 5 to 10 KB a row.
+TASK_ROWS = 32_768
+
 METRICS = ["product_count", "time", "browser_count", "page_count", "session_count"]
 COUNTED = {
     "product_count": "virtual_site",
@@ -19,6 +23,15 @@ COUNTED = {
 }
 
 
+def _dealt(df: DataFrame, rows: int | None, *columns: str) -> DataFrame:
+    """``df`` dealt over as many tasks as its ``rows`` need; adaptive execution,
+    which counts the bytes that are read and not what becomes of them, would make
+    it fewer. Where nobody counted the rows it is left to do so."""
+    if rows is None:
+        return df.repartition(*columns)
+    return df.repartition(max(1, -(-rows // TASK_ROWS)), *columns)
+
+
 def _visited(df: DataFrame, factors: Sequence[Factor]) -> DataFrame:
     """The log summed to one row per browser, product, page, session and values
     of all factors: what any of the metrics can tell apart."""
@@ -85,6 +98,7 @@ def browser_metrics(
     rows are multiplied by the factors in the task that reads them and none of
     the copies is shuffled. Rows of hot browsers, and those without a browser,
     are summed and counted by their other columns too, which spreads them.
+    A task takes about ``TASK_ROWS`` rows, however many there are.
     """
     hot = hot or hot_keys(df)
     kept = ["browser", *COUNTED.values(), "time", *[f.column for f in factors]]
@@ -92,8 +106,12 @@ def browser_metrics(
     small, large = split_hot(log, hot)
     without = log.filter(F.col("browser").isNull())
     large = without if large is None else large.unionByName(without)
-    dealt = small.filter(F.col("browser").isNotNull()).repartition("browser")
-    counted = [_per_browser(_visited(part, factors), factors) for part in (dealt, large)]
+    known = None if hot.rows is None else hot.rows - hot.apart
+    dealt = _dealt(small.filter(F.col("browser").isNotNull()), known, "browser")
+    visited = [_visited(part, factors) for part in (dealt, large)]
+    if (hot.apart or 0) > TASK_ROWS:
+        visited[1] = _dealt(visited[1], hot.apart, *visited[1].columns[:-1])
+    counted = [_per_browser(part, factors) for part in visited]
     return (
         counted[0]
         .unionByName(counted[1])

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from clicklens.sources.tables import stage, stage_folder
@@ -35,11 +35,15 @@ UPPER_DIGITS = 2
 class HotKeys:
     """The hot values of a column, in a table with how many times the limit each
     of them holds (``parts``); None when there are none. ``nulls`` tells whether
-    the rows without a value are more than the limit, too."""
+    the rows without a value are more than the limit, too. ``rows`` is how many
+    there are in all, ``apart`` those of hot values and without a value; None
+    where nobody counted them."""
 
     column: str
     table: DataFrame | None
     nulls: bool = False
+    rows: int | None = None
+    apart: int | None = None
 
 
 def hot_keys(df: DataFrame, column: str = "browser") -> HotKeys:
@@ -51,23 +55,36 @@ def hot_keys(df: DataFrame, column: str = "browser") -> HotKeys:
     """
     spark = df.sparkSession
     limit = int(spark.conf.get(LARGE_GROUP_CONF, str(LARGE_GROUP_ROWS)))
-    large = (
-        df.groupBy(column)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .filter(F.col("rows") > limit)
-        .select(column, F.ceil(F.col("rows") / limit).alias("parts"))
+    counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
+
+    def over_limit(counts: DataFrame) -> DataFrame:
+        parts = F.ceil(F.col("rows") / limit).alias("parts")
+        return counts.filter(F.col("rows") > limit).select(column, parts)
+
+    seen = Observation()
+    apart = F.col(column).isNull() | (F.col("rows") > limit)
+    observed = over_limit(
+        counted.observe(
+            seen,
+            F.sum("rows").alias("rows"),
+            F.sum(F.when(apart, F.col("rows"))).alias("apart"),
+        )
     )
     staged = stage_folder(spark) is not None
     if staged:
-        large = stage(large)
+        large = observed = stage(observed)
     # NULL comes first, if it is there
-    found = large.orderBy(F.col(column).asc_nulls_first()).limit(MAX_LOCAL_KEYS + 1).collect()
+    found = observed.orderBy(F.col(column).asc_nulls_first()).limit(MAX_LOCAL_KEYS + 1).collect()
+    totals = [seen.get.get(name) or 0 for name in ("rows", "apart")]
     nulls = bool(found) and found[0][0] is None
     if len(found) == nulls:
-        return HotKeys(column, None, nulls)
-    if not staged and len(found) <= MAX_LOCAL_KEYS:
-        large = spark.createDataFrame(found, large.schema)
-    return HotKeys(column, large.filter(F.col(column).isNotNull()), nulls)
+        return HotKeys(column, None, nulls, *totals)
+    if not staged:
+        # rows are observed once
+        large = over_limit(counted)
+        if len(found) <= MAX_LOCAL_KEYS:
+            large = spark.createDataFrame(found, large.schema)
+    return HotKeys(column, large.filter(F.col(column).isNotNull()), nulls, *totals)
 
 
 def any_null(keys: Sequence[str]) -> Column:

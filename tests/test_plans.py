@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from clicklens.operators import dwell, explore, factors, kpi, sessions, skew
 from clicklens.plans.enhance import enhance_repaired
@@ -53,6 +54,54 @@ def test_explore_multiplies_no_row_before_it_is_dealt(spark, log):
     assert all(i < dealt[0] for i, line in enumerate(branch) if "Generate" in line)
 
 
+def test_explore_gives_a_task_so_many_rows_and_no_more(spark, log, tmp_path, monkeypatch):
+    monkeypatch.setattr(explore, "TASK_ROWS", 100, raising=False)
+    rows = log.filter("browser is not null and v1 < 200").drop("browser")
+    many = rows.crossJoin(spark.range(12)).selectExpr(
+        "*", "if(v1 % 9 = 0, null, if(v1 % 4 = 0, 'hot', 'b' || (v1 * 7 + id) % 400)) browser"
+    )
+    many.write.parquet(str(tmp_path / "many"))
+    many = spark.read.schema(many.schema).parquet(str(tmp_path / "many"))
+    plain = explore.browser_metrics(many, hot=skew.HotKeys("browser", None)).collect()
+    for limit in ("2000000", "100"):
+        spark.conf.set(skew.LARGE_GROUP_CONF, limit)
+        try:
+            hot = skew.hot_keys(many)
+        finally:
+            spark.conf.unset(skew.LARGE_GROUP_CONF)
+        assert (hot.table is None) == (limit == "2000000")
+        metrics = explore.browser_metrics(many, hot=hot)
+        assert sorted(map(repr, metrics.collect())) == sorted(map(repr, plain))
+        known = metrics.filter("browser like 'b%'")
+        task = known.withColumn("task", F.spark_partition_id()).groupBy("task")
+        held = task.agg(F.countDistinct("browser").alias("browsers")).collect()
+        of_browser = {r.browser: r["count"] for r in many.groupBy("browser").count().collect()}
+        ordinary = sum(n for b, n in of_browser.items() if b and b != "hot")
+        assert len(held) >= ordinary // 100
+        # 400 browsers of some four rows
+        assert max(r.browsers for r in held) <= 60
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_rows_are_counted_with_the_hot_keys(spark, log, tmp_path, monkeypatch, staged):
+    if staged:
+        monkeypatch.setattr(tables, "stage_folder", lambda _: f"file://{tmp_path}")
+        monkeypatch.setattr(skew, "stage_folder", lambda _: f"file://{tmp_path}")
+    counts = {r.browser: r["count"] for r in log.groupBy("browser").count().collect()}
+    found = skew.hot_keys(log)
+    assert (found.table, found.rows, found.apart) == (None, 300, counts[None])
+    spark.conf.set(skew.LARGE_GROUP_CONF, "40")
+    try:
+        found = skew.hot_keys(log)
+    finally:
+        spark.conf.unset(skew.LARGE_GROUP_CONF)
+    assert (found.rows, found.apart) == (300, counts[None] + counts["b0"])
+    for empty in (log.filter("v1 < 0"), spark.createDataFrame([], LOG), log.limit(0)):
+        found = skew.hot_keys(empty)
+        assert (found.table, found.nulls, found.rows, found.apart) == (None, False, 0, 0)
+        assert explore.browser_metrics(empty, hot=found).collect() == []
+
+
 def test_merge_join_of_spans_shuffles_once(spark, log, tmp_path):
     hot = skew.HotKeys("browser", None)
     pages = log.drop("session", "time", "first_page")
