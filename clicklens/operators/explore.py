@@ -12,7 +12,7 @@ from clicklens.operators.skew import HotKeys, hot_keys, split_hot
 from clicklens.schema import EXPLORE_FACTORS, Factor
 
 # Rows of the log that a task counts. It holds two dozen values for each of them,
-# twice at that, before and after they are added up: 5 to 10 KB a row.
+# twice at that, before and after they are added up: 7 to 13 KB a row.
 TASK_ROWS = 32_768
 
 METRICS = ["product_count", "time", "browser_count", "page_count", "session_count"]
