@@ -49,9 +49,11 @@ def split_lines(docs: DataFrame) -> DataFrame:
         "pos",
         "line",
         _place(F.col("row")).alias("place"),
-        (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1).alias(
-            "words"
-        ),
+        (
+            F.octet_length(line)
+            - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+            + 1
+        ).alias("words"),
     )
 
 
@@ -94,20 +96,24 @@ def _neighbourhood(lines: DataFrame) -> DataFrame:
     The hash of a word sequence is the XOR of hashes of (position, word), so one
     pass over a line gives the hash without each of its words: running XORs of
     the words before it at their own positions and those after it one earlier.
+    Words are sorted by ``number``, a line's own, which compares without making
+    two objects of each pair as the decimal ``place`` does.
     ``SAME``: equal keys differ in the word at one position. ``SHORTER`` and
     ``WHOLE``: equal keys are a line without a word and the line that is left.
     """
     words = lines.select(
-        "place", "words", F.posexplode(F.split("line", " ")).alias("i", "word")
+        "number", "place", "words", F.posexplode(F.split("line", " ")).alias("i", "word")
     )
     own, moved = F.xxhash64("i", "word"), F.xxhash64(F.col("i") - 1, F.col("word"))
-    line = Window.partitionBy("place")
-    before = line.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    # one order for both frames: the words of a line are sorted and held once
+    line = Window.partitionBy("number").orderBy("i")
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = line.rowsBetween(Window.unboundedPreceding, -1)
     hashed = words.withColumns({"own": own, "moved": moved})
     both = F.col("own").bitwiseXOR(F.col("moved"))
     without = (
         F.bit_xor("moved")
-        .over(line)
+        .over(whole)
         .bitwiseXOR(F.coalesce(F.bit_xor(both).over(before), F.lit(0)))
         .bitwiseXOR(F.col("moved"))
     )
@@ -134,7 +140,7 @@ def _neighbourhood(lines: DataFrame) -> DataFrame:
     )
     return (
         hashed.withColumns(
-            {"without": without, "all": F.bit_xor("own").over(line)}
+            {"without": without, "all": F.bit_xor("own").over(whole)}
         )
         .select("place", F.explode(emitted).alias("at"))
         .filter("at is not null")
@@ -239,6 +245,7 @@ def mark_lines(docs: DataFrame) -> DataFrame:
         .join(stage(_candidates(distinct)).hint("merge"), "place")
         .select("place", "words", "line")
         .distinct()
+        .withColumn("number", F.monotonically_increasing_id())
     )
     near = stage(_near_earlier(stage(_neighbourhood(texts)), texts))
     # what decides on a line: where its text came first, and if that goes

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from decimal import Decimal
 
 import pytest
 import xxhash
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from clicklens.llm.exact import exact_dedup, merge_runs
 from clicklens.llm.graph import components
-from clicklens.llm.lines import document_lines, mark_lines, without_lines
+from clicklens.llm.lines import _neighbourhood, document_lines, mark_lines, split_lines, without_lines
 from clicklens.llm import simhash
 from clicklens.llm.simhash import (
     fingerprint,
@@ -212,6 +213,27 @@ def test_lines(spark):
     }
 
 
+def test_words_of_a_line_are_sorted_once_and_not_by_decimals(spark):
+    texts = ["a b c d e f", "a b x d e f", "a b d e f", "ä  𓀀 b c d", "ä  𓀀 b c", " a b c d e f", "a b c d e g h"]
+    counted = split_lines(spark.createDataFrame([(1, "\n".join(texts))], "doc_id bigint, text string"))
+    assert {r["line"]: r["words"] for r in counted.collect()} == {t: len(t.split(" ")) for t in texts}
+    rows = [(i, Decimal(10**28 + i), len(t.split(" ")), t) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "number bigint, place decimal(38,0), words int, line string")
+    keys = _neighbourhood(frame)
+    tree = keys._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bWindow \[", tree)) == 1
+    assert re.findall(r"\bSort \[(\w+)#", tree) == ["number"]
+    at = [(int(r["place"]) - 10**28, r["kind"], r["key"]) for r in keys.collect()]
+    met = {(a, b) for a, kind, key in at for b, other, same in at if a < b and key == same and (kind, other) in ((0, 0), (1, 2), (2, 1))}
+    words = [t.split(" ") for t in texts]
+    assert met == {
+        (a, b)
+        for a in range(len(texts))
+        for b in range(a + 1, len(texts))
+        if min(len(words[a]), len(words[b])) >= 5 and within_one_word(words[a], words[b])
+    } and len(met) > 3
+
+
 def test_lines_with_odd_rows(odd_documents, no_documents):
     marked = mark_lines(odd_documents)
     sizes = odd_documents.select(F.size(F.split(F.coalesce("text", F.lit("")), "\n")).alias("n"))
